@@ -41,10 +41,17 @@ def hot_keys(
 
 
 def left_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    unique_right: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``left r LEFT JOIN right a`` on equal keys; columns stay ``r.*`` and ``a.*``.
 
+    ``unique_right`` says that the right side has one row per key, as after a
+    grouping by it; nothing on that side can then be hot.
+
     AQE splits hot keys of the left side on its own. It cannot split the right
     side of an outer join, so the rows of a hot right key are dealt out over
     several parts, and the left rows of that key go to each part. Where a part
@@ -52,6 +59,9 @@ def left_join(
     parts. The part number also keeps an aggregate on the right from sharing the
     join's partitioning, which would stop AQE from splitting the left.
     """
+    condition = [F.col(f"r.{quoted(k)}") == F.col(f"a.{quoted(k)}") for k in keys]
+    if unique_right:
+        return left.alias("r").join(right.alias("a"), on=condition, how="left")
     hot = F.broadcast(hot_keys(right, keys, hot_rows))
     parts = F.coalesce(F.col(PARTS), F.lit(1))
     # Depends on the row and its input partition only, so a rerun task deals the
@@ -68,7 +78,6 @@ def left_join(
         .withColumn(PARTS, parts)
         .withColumn(PART, F.explode(F.sequence(F.lit(0), F.col(PARTS) - 1)))
     )
-    condition = [F.col(f"r.{quoted(k)}") == F.col(f"a.{quoted(k)}") for k in keys]
     condition.append(F.col(f"r.{PART}") == F.col(f"a.{PART}"))
     joined = spread.alias("r").join(dealt.alias("a"), on=condition, how="left")
     return joined.where((F.col(f"r.{PARTS}") == 1) | F.col(f"a.{HIT}").isNotNull())

@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -49,10 +49,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsc.hadoopConfiguration()
-    return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+def _write_copy(df: DataFrame, label: str) -> tuple[str, DataFrame]:
+    """Write ``df`` below the shared folder; returns the path and the copy.
+
+    A column of untyped nulls cannot be stored and becomes text.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, label)
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.NullType):
+            df = df.withColumn(field.name, F.col(field.name).cast("string"))
+    df.write.parquet(path)
+    return path, spark.read.schema(df.schema).parquet(path)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -61,21 +69,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     Cuts the lineage, lets several consumers share one computation and, unlike
     a cached DataFrame, is not lost with an executor.
     """
-    path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write_copy(df, label)[1]
 
 
 @contextmanager
 def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
     """``stage`` for a copy that is only needed inside the ``with`` block."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, label)
+    path, copy = _write_copy(df, label)
     try:
-        df.write.parquet(path)
-        yield spark.read.schema(df.schema).parquet(path)
+        yield copy
     finally:
-        delete_path(spark, path)
+        delete_path(df.sparkSession, path)
 
 
 @contextmanager
