@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from zoneferry.functions.columns import name, quoted
 
 # A key counts as hot above this share of all rows, so fewer than 1 / HOT_SHARE
-# keys can be hot, whatever the data: the bound that lets them be broadcast.
+# keys can be hot, whatever the data: the bound that lets them be collected and
+# broadcast.
 HOT_SHARE = 0.001
 
 # Below this many rows one task handles a key easily.
@@ -21,22 +22,17 @@ HIT = "zf_hit"
 COUNT = "zf_count"
 
 
-def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*[name(k) for k in keys]).agg(F.count(F.lit(1)).alias(COUNT))
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys above ``hot_rows`` rows and above ``HOT_SHARE`` of all rows.
 
-
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE
-) -> DataFrame:
-    """Keys above ``hot_rows`` rows and above ``hot_share`` of all rows.
-
-    Adds the number of parts each is to be split into. Fewer than
-    ``1 / hot_share`` rows come back.
+    Adds the number of parts each is to be split into. Reads the key columns
+    only and counts before it shuffles. Null keys match nothing and are left out.
     """
-    counts = key_counts(df, keys)
-    floor = counts.agg((F.sum(COUNT) * hot_share).alias("floor"))
+    columns = [name(k) for k in keys]
+    counts = df.select(*columns).dropna().groupBy(*columns).agg(F.count(F.lit(1)).alias(COUNT))
+    floor = counts.agg((F.sum(COUNT) * HOT_SHARE).alias("floor"))
     return counts.where((F.col(COUNT) > hot_rows) & (F.col(COUNT) > floor.scalar())).select(
-        *[name(k) for k in keys], F.ceil(F.col(COUNT) / hot_rows).cast("int").alias(PARTS)
+        *columns, F.ceil(F.col(COUNT) / hot_rows).cast("int").alias(PARTS)
     )
 
 
@@ -44,31 +40,68 @@ def left_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
+    unique_left: bool = False,
     unique_right: bool = False,
+    deal_by: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``left r LEFT JOIN right a`` on equal keys; columns stay ``r.*`` and ``a.*``.
 
-    ``unique_right`` says that the right side has one row per key, as after a
-    grouping by it; nothing on that side can then be hot.
-
     AQE splits hot keys of the left side on its own. It cannot split the right
-    side of an outer join, so the rows of a hot right key are dealt out over
-    several parts, and the left rows of that key go to each part. Where a part
-    holds no match the padded row is dropped: the key has matches in other
-    parts. The part number also keeps an aggregate on the right from sharing the
-    join's partitioning, which would stop AQE from splitting the left.
+    side of an outer join, so that side is counted first. A side said to be
+    unique has one row per key, as after a grouping by it: it is not counted,
+    and two such sides are joined as they are partitioned.
     """
-    condition = [F.col(f"r.{quoted(k)}") == F.col(f"a.{quoted(k)}") for k in keys]
     if unique_right:
-        return left.alias("r").join(right.alias("a"), on=condition, how="left")
-    hot = F.broadcast(hot_keys(right, keys, hot_rows))
+        return _plain_left_join(left, right, keys, split_left=not unique_left)
+    hot = hot_keys(right, keys, hot_rows)
+    found = hot.collect()
+    if not found:
+        return _plain_left_join(left, right, keys, split_left=not unique_left)
+    listed = left.sparkSession.createDataFrame(found, hot.schema)
+    return _dealt_left_join(left, right, keys, listed, deal_by)
+
+
+def _same_keys(keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"r.{quoted(k)}") == F.col(f"a.{quoted(k)}") for k in keys]
+
+
+def _plain_left_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], split_left: bool
+) -> DataFrame:
+    """The join alone; ``split_left`` keeps it open to AQE's splitting of the left.
+
+    AQE splits only where both inputs are shuffled for the join itself. A right
+    side grouped by the key would not be; joining on a fingerprint as well makes
+    it so.
+    """
+    same = _same_keys(keys)
+    if split_left:
+        left = left.withColumn(HIT, F.xxhash64(*[name(k) for k in keys]))
+        right = right.withColumn(HIT, F.xxhash64(*[name(k) for k in keys]))
+        same.append(F.col(f"r.{HIT}") == F.col(f"a.{HIT}"))
+    return left.alias("r").join(right.alias("a"), on=same, how="left")
+
+
+def _dealt_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    hot: DataFrame,
+    deal_by: Sequence[str],
+) -> DataFrame:
+    """Rows of a hot right key dealt out over parts, its left rows sent to each.
+
+    Where a part holds no match the padded row is dropped: the key has its
+    matches in other parts. Rows are dealt by the input partition they come
+    from, which a rerun task shares with its first attempt and which tells
+    copies apart, and by the ``deal_by`` columns if there are any.
+    """
+    hot = F.broadcast(hot)
     parts = F.coalesce(F.col(PARTS), F.lit(1))
-    # Depends on the row and its input partition only, so a rerun task deals the
-    # same rows to the same parts, and copies of one row still spread out.
-    row_hash = F.xxhash64(*[name(c) for c in _hashable(right)], F.spark_partition_id())
+    dealer = F.xxhash64(F.spark_partition_id(), *[name(c) for c in deal_by])
     dealt = (
-        right.withColumn(HIT, row_hash)
+        right.withColumn(HIT, dealer)
         .join(hot, on=list(keys), how="left")
         .withColumn(PART, F.pmod(F.col(HIT), parts).cast("int"))
         .drop(PARTS)
@@ -78,16 +111,11 @@ def left_join(
         .withColumn(PARTS, parts)
         .withColumn(PART, F.explode(F.sequence(F.lit(0), F.col(PARTS) - 1)))
     )
-    condition.append(F.col(f"r.{PART}") == F.col(f"a.{PART}"))
-    joined = spread.alias("r").join(dealt.alias("a"), on=condition, how="left")
+    same = [*_same_keys(keys), F.col(f"r.{PART}") == F.col(f"a.{PART}")]
+    joined = spread.alias("r").join(dealt.alias("a"), on=same, how="left")
     return joined.where((F.col(f"r.{PARTS}") == 1) | F.col(f"a.{HIT}").isNotNull())
 
 
-def _hashable(df: DataFrame) -> list[str]:
-    kept = ("map", "variant")
-    return [f.name for f in df.schema.fields if not any(k in f.dataType.simpleString() for k in kept)]
-
-
 def anti_join(
     left: DataFrame, keys: DataFrame, on: Sequence[str], null_safe: bool = False
 ) -> DataFrame:

@@ -208,6 +208,7 @@ def recon_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("raw_total", "r.total"),
             ("access_total", "a.total"),
         ],
+        unique_raw=True,
         unique_access=True,
     )
 
@@ -282,6 +283,7 @@ def recon_rule_set(spark: SparkSession, sf_dir: str) -> DataFrame:
                        WHERE o_orderstatus = 'F' GROUP BY o_custkey""",
                     ["custkey"],
                     [("customer", "r.custkey"), ("finished", "a.n")],
+                    unique_raw=True,
                     unique_access=True,
                 ),
                 bound.counts_rule(
