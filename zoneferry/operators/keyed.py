@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from zoneferry.functions.columns import name, where_not
 from zoneferry.operators.joins import anti_join
+from zoneferry.sources.files import conform
 
 
 def typed_keys(keys: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -41,14 +42,14 @@ def upsert(
     where that must not happen.
     """
     kept = delete_by_keys(target, rows if keys is None else keys, on, null_safe)
-    return kept.unionByName(rows.to(target.schema))
+    return kept.unionByName(conform(rows, target.schema))
 
 
 def refresh(
     target: DataFrame, rows: DataFrame, delete_where: Column | str | None = None
 ) -> DataFrame:
     """Delete what ``delete_where`` selects, or everything, and add the rows."""
-    new = rows.to(target.schema)
+    new = conform(rows, target.schema)
     if delete_where is None:
         return new
     return target.where(where_not(delete_where)).unionByName(new)

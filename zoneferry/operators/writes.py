@@ -13,6 +13,7 @@ from zoneferry.functions.columns import name, quoted
 from zoneferry.operators.joins import anti_join
 from zoneferry.session import setting, staged
 from zoneferry.sources.catalog import run_sql
+from zoneferry.sources.files import conform
 
 DYNAMIC = ("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
@@ -41,7 +42,7 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 def _conformed(df: DataFrame, table: str) -> DataFrame:
     """Columns of ``df`` in the table's order and types, matched by name."""
-    return df.to(df.sparkSession.table(table).schema)
+    return conform(df, df.sparkSession.table(table).schema)
 
 
 def _by_partition(df: DataFrame, table: str) -> DataFrame:

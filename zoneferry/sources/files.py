@@ -63,8 +63,22 @@ def _relax_field(field: T.StructField) -> T.StructField:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Reorder and cast to ``schema`` by name; absent nullable fields are null."""
-    return df.to(schema)
+    """Bring ``df`` to ``schema`` by column name; absent nullable fields are null.
+
+    Plain values are cast, text to numbers included; in ANSI mode, the default,
+    a value that does not fit is an error.
+    """
+    kinds = {f.name.lower(): f.dataType for f in schema.fields}
+    casts = {}
+    for have in df.schema.fields:
+        want = kinds.get(have.name.lower(), have.dataType)
+        if have.dataType != want and _plain(have.dataType) and _plain(want):
+            casts[have.name] = name(have.name).cast(want)
+    return df.withColumns(casts).to(schema) if casts else df.to(schema)
+
+
+def _plain(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
 
 
 def read_conformed(
