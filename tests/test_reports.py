@@ -108,3 +108,14 @@ def test_adhoc_select_insert_and_ddl(spark):
         with pytest.raises((AnalysisException, ParseException)):
             reports.adhoc_query(spark, "SELEC 1", folder, "r3")
         assert reports.adhoc_query(spark, "DROP TABLE {db}.t", folder, "r4", {"db": s.db}) is None
+
+
+def test_ties_in_the_order_are_spread(spark):
+    df = spark.range(0, 40_000, 1, 8).select(
+        (F.col("id") % 2 * 0).alias("k"), F.lit("copy").alias("v")
+    )
+    path = fresh_dir(spark, "report")
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        assert reports.write_report(df, path, ["k"]) == 40_000
+    assert len([p for p in parts(path) if open(p).read()]) > 2
+    assert text(path).count("\n") == 40_000

@@ -117,14 +117,20 @@ def _dealt_left_join(
 
 
 def anti_join(
-    left: DataFrame, keys: DataFrame, on: Sequence[str], null_safe: bool = False
+    left: DataFrame,
+    keys: DataFrame,
+    on: Sequence[str],
+    null_safe: bool = False,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """The rows of ``left`` whose key is not in ``keys``.
 
     A null key never matches unless ``null_safe``. The keys are made unique
-    before they are shuffled or broadcast.
+    before they are joined, unless ``unique_keys`` says that they are: a written
+    list of unique keys, small by its file size, is then broadcast and ``left``
+    is not shuffled at all.
     """
-    unique = _unique_keys(keys, on)
+    unique = keys.select(*[name(k) for k in on]) if unique_keys else _unique_keys(keys, on)
     if not null_safe:
         return left.join(unique, on=list(on), how="left_anti")
     same: Column = F.lit(True)

@@ -22,10 +22,14 @@ def typed_keys(keys: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFra
 
 
 def delete_by_keys(
-    target: DataFrame, keys: DataFrame, on: Sequence[str], null_safe: bool = False
+    target: DataFrame,
+    keys: DataFrame,
+    on: Sequence[str],
+    null_safe: bool = False,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """The target without the rows whose key is listed. No keys, no deletes."""
-    return anti_join(target, typed_keys(keys, target, on), on, null_safe)
+    return anti_join(target, typed_keys(keys, target, on), on, null_safe, unique_keys)
 
 
 def upsert(
@@ -34,6 +38,7 @@ def upsert(
     on: Sequence[str],
     keys: DataFrame | None = None,
     null_safe: bool = False,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Delete the changed keys from the target, then add the rows.
 
@@ -41,7 +46,8 @@ def upsert(
     rows are added, also several for one key; gate them with ``require_unique``
     where that must not happen.
     """
-    kept = delete_by_keys(target, rows if keys is None else keys, on, null_safe)
+    changed = rows if keys is None else keys
+    kept = delete_by_keys(target, changed, on, null_safe, unique_keys)
     return kept.unionByName(conform(rows, target.schema))
 
 

@@ -44,13 +44,24 @@ def write_report(df: DataFrame, path: str, order_by: Sequence[str] = ()) -> int:
     with ``order_by`` their names follow the order of the rows.
     """
     with setting(df.sparkSession, *FILE_BYTES):
-        shaped = df.orderBy(*[name(c) for c in order_by]) if order_by else df.hint("rebalance")
+        shaped = _ordered(df, order_by) if order_by else df.hint("rebalance")
         seen = Observation()
         counted = shaped.observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.mode("overwrite").options(**REPORT_CSV).csv(path)
     return seen.get["rows"]
 
 
+def _ordered(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """``df`` in order, rows that tie spread over as many sort tasks as they fill.
+
+    Ties go by row and input partition, which are the same when a task reruns.
+    """
+    tie = df.withColumn("zf_row", F.xxhash64(*[name(c) for c in df.columns])).withColumn(
+        "zf_part", F.spark_partition_id()
+    )
+    return tie.orderBy(*[name(c) for c in order_by], "zf_row", "zf_part").drop("zf_row", "zf_part")
+
+
 def write_reports(
     spark: SparkSession,
     reports: Sequence[Report],

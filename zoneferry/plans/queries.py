@@ -120,11 +120,10 @@ def association_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         jobs.map_zone(
             spark,
-            """SELECT e.crm_object_id, any_value(a.associations) AS associations,
-                      count(*) AS n_events, max(e.ts) AS last_event
-               FROM zf_activity e JOIN mappedAssociationsTable a
-                 ON e.crm_object_id = a.crm_object_id
-               GROUP BY e.crm_object_id""",
+            """SELECT e.crm_object_id, a.associations, e.n_events, e.last_event
+               FROM (SELECT crm_object_id, count(*) AS n_events, max(ts) AS last_event
+                     FROM zf_activity GROUP BY crm_object_id) e
+               JOIN mappedAssociationsTable a ON e.crm_object_id = a.crm_object_id""",
             ["INSERT INTO {curated}.activity SELECT * FROM mappedOutputTable"],
             views={
                 "zf_activity": "SELECT user_id AS crm_object_id, "
@@ -342,14 +341,15 @@ def written_keys(keys: DataFrame, fmt: str = "parquet") -> DataFrame:
 def delete_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     keys = written_keys(orders.where("o_orderstatus = 'F'").select("o_orderkey"), "csv")
-    return keyed.delete_by_keys(orders, keys, ["o_orderkey"])
+    return keyed.delete_by_keys(orders, keys, ["o_orderkey"], unique_keys=True)
 
 
 @registered
 def delete_by_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     on = ["l_orderkey", "l_linenumber"]
-    return keyed.delete_by_keys(lines, written_keys(lines.where("l_returnflag = 'R'").select(*on)), on)
+    keys = written_keys(lines.where("l_returnflag = 'R'").select(*on))
+    return keyed.delete_by_keys(lines, keys, on, unique_keys=True)
 
 
 def late_orders(orders: DataFrame) -> DataFrame:
@@ -364,7 +364,8 @@ def late_orders(orders: DataFrame) -> DataFrame:
 def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     rows = late_orders(orders)
-    return keyed.upsert(orders, rows, ["o_orderkey"], written_keys(rows.select("o_orderkey")))
+    keys = written_keys(rows.select("o_orderkey"))
+    return keyed.upsert(orders, rows, ["o_orderkey"], keys, unique_keys=True)
 
 
 @registered
@@ -430,10 +431,12 @@ def fanout_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
         insert = "INSERT INTO {db}.%s SELECT * FROM mappedOutputTable"
         jobs.map_zone(
             spark,
-            """SELECT o_orderkey AS orderkey, count(l_orderkey) AS n_lines,
-                      CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
-               FROM {db}.orders LEFT JOIN {db}.lineitem ON o_orderkey = l_orderkey
-               GROUP BY o_orderkey""",
+            """SELECT o_orderkey AS orderkey, coalesce(n_lines, 0) AS n_lines,
+                      CAST(total AS DOUBLE) AS total
+               FROM {db}.orders LEFT JOIN (
+                   SELECT l_orderkey, count(*) AS n_lines,
+                          sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total
+                   FROM {db}.lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""",
             [
                 insert % "all_orders",
                 insert % "large_orders" + " WHERE n_lines > 5",
