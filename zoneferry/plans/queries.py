@@ -15,7 +15,7 @@ from zoneferry.operators import keyed, mapping, quality, recon, reports, writes
 from zoneferry.operators.quality import Limit
 from zoneferry.plans import jobs
 from zoneferry.plans.scratch import scratch
-from zoneferry.session import fresh_dir
+from zoneferry.session import fresh_dir, is_single_process
 from zoneferry.sources import files, jdbc
 from zoneferry.sources.catalog import run_sql
 
@@ -549,6 +549,8 @@ def serving_database(spark: SparkSession) -> jdbc.Database:
     url = spark.conf.get("spark.zoneferry.jdbc.url", None)
     if url:
         return jdbc.Database(url, spark.conf.get("spark.zoneferry.jdbc.driver"))
+    if not is_single_process(spark):
+        raise RuntimeError("executors cannot reach an embedded database: set spark.zoneferry.jdbc.url")
     log = f"{fresh_dir(spark, 'derby')}.log".removeprefix("file:")
     spark._jvm.java.lang.System.setProperty("derby.stream.error.file", log)
     return jdbc.Database(

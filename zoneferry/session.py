@@ -19,6 +19,12 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_base: str | None = None
 
 
+def is_single_process(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -30,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_single_process(spark):
         raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder all executors share")
     if _local_base is None:
         _local_base = tempfile.mkdtemp(prefix="zoneferry-")
