@@ -77,9 +77,8 @@ def _plain_left_join(
     """
     same = _same_keys(keys)
     if split_left:
-        left = left.withColumn(HIT, F.xxhash64(*[name(k) for k in keys]))
-        right = right.withColumn(HIT, F.xxhash64(*[name(k) for k in keys]))
-        same.append(F.col(f"r.{HIT}") == F.col(f"a.{HIT}"))
+        prints = [F.xxhash64(*[F.col(f"{side}.{quoted(k)}") for k in keys]) for side in "ra"]
+        same.append(prints[0] == prints[1])
     return left.alias("r").join(right.alias("a"), on=same, how="left")
 
 

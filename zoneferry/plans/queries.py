@@ -355,9 +355,13 @@ def delete_by_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def late_orders(orders: DataFrame) -> DataFrame:
     """Changed rows: late orders at a new price, and as many orders with new keys."""
     late = orders.where(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
-    return late.withColumn("o_totalprice", F.col("o_totalprice") * 2).unionByName(
-        late.withColumn("o_orderkey", -F.col("o_orderkey"))
-    )
+    both = late.withColumn("is_new", F.explode(F.array(F.lit(False), F.lit(True))))
+    return both.withColumns(
+        {
+            "o_orderkey": F.when(F.col("is_new"), -F.col("o_orderkey")).otherwise(F.col("o_orderkey")),
+            "o_totalprice": F.col("o_totalprice") * F.when(F.col("is_new"), 1).otherwise(2),
+        }
+    ).drop("is_new")
 
 
 @registered
