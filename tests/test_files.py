@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from zoneferry.session import delete_path, fresh_dir, shared_dir, stage, staged
 from zoneferry.sources import files
@@ -59,6 +59,14 @@ def test_conform_by_name(spark):
     assert tuple(got.first()) == (7, dt.date(2024, 1, 2), None)
 
 
+def test_odd_names_and_untyped_nulls(spark):
+    df = spark.createDataFrame([("7", 1)], "`a.b` string, `c d` int").withColumn("e.f", F.lit(None))
+    schema = T.StructType([T.StructField("c d", T.LongType()), T.StructField("a.b", T.IntegerType())])
+    assert tuple(files.conform(df.drop("e.f"), schema).first()) == (1, 7)
+    with staged(df) as copy:
+        assert tuple(copy.first()) == ("7", 1, None)
+
+
 def test_conform_refuses_what_does_not_fit(spark):
     number = T.StructType([T.StructField("n", T.IntegerType())])
     with pytest.raises(PySparkException):
@@ -93,18 +101,24 @@ def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-class Cluster:
-    """A session on a cluster that names no shared folder."""
+class NoSharedFolder:
+    """A session that names no shared folder."""
 
     class conf:
         @staticmethod
         def get(key, default):
             return default
 
-    class sparkContext:
-        master = "yarn"
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master})
 
 
-def test_a_cluster_must_name_a_shared_folder():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_a_shared_folder(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(Cluster)
+        shared_dir(NoSharedFolder(master))
+
+
+def test_a_single_process_falls_back_to_one_temporary_folder():
+    first = shared_dir(NoSharedFolder("local[2]"))
+    assert first == shared_dir(NoSharedFolder("local")) and "zoneferry" in first

@@ -100,6 +100,15 @@ def test_left_join_two_keys_and_odd_names(spark):
     assert sorted(map(tuple, joined.collect()), key=repr) == [(10, 7), (10, 8), (20, None), (30, None)]
 
 
+@pytest.mark.parametrize("hot_rows", [2, 1_000])
+def test_left_join_on_names_with_dots_and_blanks(spark, hot_rows):
+    left = spark.range(3).toDF("a.b c")
+    right = spark.range(0, 12, 1, 4).select((F.col("id") % 2).alias("a.b c"), F.col("id").alias("x"))
+    joined = joins.left_join(left, right, ["a.b c"], hot_rows=hot_rows)
+    got = sorted(map(tuple, joined.select("r.`a.b c`", "a.x").collect()), key=repr)
+    assert got == sorted([(i % 2, i) for i in range(12)] + [(2, None)], key=repr)
+
+
 @pytest.mark.parametrize("null_safe, kept", [(False, {2, None}), (True, {2})])
 def test_anti_join_and_null_keys(spark, null_safe, kept):
     target = spark.createDataFrame([(1,), (2,), (None,)], "k int")

@@ -164,3 +164,26 @@ def test_batch_record(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "batch int, at string")
     assert rows(writes.batch_record(df, "batch", "at")) == [("1", 2, "b"), ("2", 1, "c")]
     assert writes.batch_record(df.limit(0), "batch", "at").isEmpty()
+
+
+def test_upsert_partitions_computes_its_rows_once(spark, s):
+    table = s.sink("p", "k int, part int", "part")
+    writes.append(spark.createDataFrame([(i, i % 50) for i in range(500)], "k int, part int"), table)
+    moving = spark.range(20).select(
+        (F.col("id") + 1_000).cast("int").alias("k"), (F.rand() * 50).cast("int").alias("part")
+    )
+    writes.upsert_partitions(moving, table, ["k", "part"])
+    assert spark.table(table).count() == 520
+
+
+def test_a_failed_fan_out_leaves_a_usable_view(spark, s):
+    mapped = spark.range(2)
+    with pytest.raises(PySparkException):
+        writes.fan_out(mapped, "zt_left", ["SELECT * FROM nowhere", "SELECT 1"])
+    assert spark.table("zt_left").count() == 2
+
+
+def test_locations_may_hold_quotes(spark, s):
+    table = s.sink("t", COLUMNS)
+    writes.replace_table(frame(spark, [(1, "a")]), table, s.path("it's"), "v1")
+    assert rows(spark.table(table)) == [(1, "a")]

@@ -29,7 +29,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     only and counts before it shuffles. Null keys match nothing and are left out.
     """
     columns = [name(k) for k in keys]
-    counts = df.select(*columns).dropna().groupBy(*columns).agg(F.count(F.lit(1)).alias(COUNT))
+    known = df.select(*columns)
+    for column in columns:
+        known = known.where(column.isNotNull())
+    counts = known.groupBy(*columns).agg(F.count(F.lit(1)).alias(COUNT))
     floor = counts.agg((F.sum(COUNT) * HOT_SHARE).alias("floor"))
     return counts.where((F.col(COUNT) > hot_rows) & (F.col(COUNT) > floor.scalar())).select(
         *columns, F.ceil(F.col(COUNT) / hot_rows).cast("int").alias(PARTS)

@@ -44,7 +44,8 @@ def upsert(
 
     The keys are those of the rows unless a list of changed keys is given. All
     rows are added, also several for one key; gate them with ``require_unique``
-    where that must not happen.
+    where that must not happen. Rows that are costly, or not the same each time
+    they are computed, should be staged first: they are read twice.
     """
     changed = rows if keys is None else keys
     kept = delete_by_keys(target, changed, on, null_safe, unique_keys)

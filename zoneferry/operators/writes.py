@@ -26,6 +26,11 @@ def table_name(table: str) -> str:
     return ".".join(quoted(part) for part in table.split("."))
 
 
+def _text(value: str) -> str:
+    """A string literal of SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
@@ -84,11 +89,13 @@ def fan_out(
     """
     spark = mapped.sparkSession
     several = len(statements) > 1
-    with staged(mapped, view) if several else nullcontext(mapped) as rows:
-        rows.createOrReplaceTempView(view)
-        for statement in statements:
-            run_sql(spark, statement, names, values)
-    mapped.createOrReplaceTempView(view)
+    try:
+        with staged(mapped, view) if several else nullcontext(mapped) as rows:
+            rows.createOrReplaceTempView(view)
+            for statement in statements:
+                run_sql(spark, statement, names, values)
+    finally:
+        mapped.createOrReplaceTempView(view)
 
 
 def archive(df: DataFrame, table: str, column: str, snapshot: Any) -> int:
@@ -108,18 +115,19 @@ def upsert_partitions(rows: DataFrame, table: str, on: Sequence[str]) -> int:
     """Upsert into a partitioned table, rewriting only the partitions touched.
 
     The partition columns must be part of the key: a key then lives in one
-    partition, and no other partition can hold an old row of it. ``rows`` is
-    read twice.
+    partition, and no other partition can hold an old row of it. The rows are
+    written once first: the partitions found touched and the partitions replaced
+    must come from the same rows.
     """
     spark = rows.sparkSession
     columns = partition_columns(spark, table)
     if not columns or not set(columns) <= set(on):
         raise ValueError(f"the key must contain the partition columns of {table}")
-    new = _conformed(rows, table)
-    touched = new.select(*[_stored_value(new, c).alias(c) for c in columns]).distinct()
-    current = _in_partitions(spark.table(table), touched, columns)
-    kept = anti_join(current, new, on)
-    return overwrite_partitions(kept.unionByName(new), table)
+    with staged(_conformed(rows, table), "upsert") as new:
+        touched = new.select(*[_stored_value(new, c).alias(c) for c in columns]).distinct()
+        current = _in_partitions(spark.table(table), touched, columns)
+        kept = anti_join(current, new, on)
+        return overwrite_partitions(kept.unionByName(new), table)
 
 
 def _stored_value(df: DataFrame, column: str) -> Column:
@@ -164,7 +172,7 @@ def replace_table(df: DataFrame, table: str, base: str, run_id: str) -> str:
     if columns:
         _swap_partitioned(spark, table, path, run_id)
     else:
-        spark.sql(f"ALTER TABLE {table_name(table)} SET LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE {table_name(table)} SET LOCATION {_text(path)}")
     spark.catalog.refreshTable(table)
     return path
 
@@ -180,7 +188,7 @@ def _swap_partitioned(spark: SparkSession, table: str, path: str, run_id: str) -
     suffix = re.sub(r"\W", "_", run_id)
     new, old = f"{table}_zf_new_{suffix}", f"{table}_zf_old_{suffix}"
     spark.sql(f"DROP TABLE IF EXISTS {table_name(new)}")
-    spark.sql(f"CREATE TABLE {table_name(new)} LIKE {table_name(table)} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {table_name(new)} LIKE {table_name(table)} LOCATION {_text(path)}")
     repair(spark, new)
     spark.sql(f"ALTER TABLE {table_name(table)} RENAME TO {table_name(old)}")
     spark.sql(f"ALTER TABLE {table_name(new)} RENAME TO {table_name(table)}")

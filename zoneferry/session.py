@@ -14,6 +14,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from zoneferry.functions.columns import name
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_base: str | None = None
@@ -44,8 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/zoneferry/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing has used yet.
+
+    One application's paths lie together, so that they can be removed together.
+    """
+    run = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/zoneferry/{run}/{label}-{uuid.uuid4().hex}"
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -64,7 +70,7 @@ def _write_copy(df: DataFrame, label: str) -> tuple[str, DataFrame]:
     path = fresh_dir(spark, label)
     for field in df.schema.fields:
         if isinstance(field.dataType, T.NullType):
-            df = df.withColumn(field.name, F.col(field.name).cast("string"))
+            df = df.withColumn(field.name, name(field.name).cast("string"))
     df.write.parquet(path)
     return path, spark.read.schema(df.schema).parquet(path)
 
