@@ -1,5 +1,7 @@
 """Joins under skew: right rows, whole results, and plans that can be split."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +130,33 @@ def test_setting_is_put_back(spark):
     with pytest.raises(RuntimeError), setting(spark, "spark.sql.shuffle.partitions", "3"):
         raise RuntimeError
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_joins_need_keys(spark):
+    df = spark.range(2)
+    with pytest.raises(ValueError):
+        joins.left_join(df, df, [])
+    with pytest.raises(ValueError):
+        joins.anti_join(df, df, [])
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("hot_rows", [3, 1_000])
+def test_left_join_against_brute_force(spark, seed, hot_rows):
+    """Random sides with repeated, missing, null and hot keys."""
+    chance = random.Random(seed)
+    keys = [None, 0, 0, 0, 1, 2, 3, 4]
+    left = [(chance.choice(keys), i) for i in range(chance.randrange(25))]
+    right = [(chance.choice(keys), i) for i in range(chance.randrange(60))]
+    expected = []
+    for k, x in left:
+        matches = [(k, x, y) for rk, y in right if k is not None and rk == k]
+        expected += matches or [(k, x, None)]
+    joined = joins.left_join(
+        spark.createDataFrame(left, "k int, x int"),
+        spark.createDataFrame(right, "k int, y int").repartition(5),
+        ["k"],
+        deal_by=["y"],
+        hot_rows=hot_rows,
+    ).select("r.k", "r.x", "a.y")
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted(expected, key=repr)

@@ -27,7 +27,7 @@ def test_values_are_parameters(spark):
 def test_view_chain_keeps_each_name(spark):
     last = mapping.view_chain(
         spark,
-        {"zt_a": "SELECT 1 AS x", "zt_b": "SELECT x + 1 AS y FROM zt_a", "zt_c": "SELECT y + x AS z FROM zt_a, zt_b"},
+        {"zt_a": "SELECT 1 AS x", "zt_b": "SELECT x + 1 AS y FROM zt_a", "zt_c": "SELECT y + 1 AS z FROM zt_b"},
     )
     assert last.first()["z"] == 3
     assert spark.table("zt_a").first()["x"] == 1

@@ -22,6 +22,12 @@ HIT = "zf_hit"
 COUNT = "zf_count"
 
 
+def require_keys(keys: Sequence[str]) -> None:
+    """Refuse a join or a grouping that names no key: it would pair or merge all rows."""
+    if not keys:
+        raise ValueError("no key columns given")
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys above ``hot_rows`` rows and above ``HOT_SHARE`` of all rows.
 
@@ -55,6 +61,7 @@ def left_join(
     unique has one row per key, as after a grouping by it: it is not counted,
     and two such sides are joined as they are partitioned.
     """
+    require_keys(keys)
     if unique_right:
         return _plain_left_join(left, right, keys, split_left=not unique_left)
     hot = hot_keys(right, keys, hot_rows)
@@ -132,6 +139,7 @@ def anti_join(
     list of unique keys, small by its file size, is then broadcast and ``left``
     is not shuffled at all.
     """
+    require_keys(on)
     unique = keys.select(*[name(k) for k in on]) if unique_keys else _unique_keys(keys, on)
     if not null_safe:
         return left.join(unique, on=list(on), how="left_anti")

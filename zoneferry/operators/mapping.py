@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from zoneferry.functions.columns import name
+from zoneferry.operators.joins import require_keys
 from zoneferry.session import stage
 from zoneferry.sources.catalog import run_sql
 
@@ -73,6 +74,7 @@ def collect_distinct(df: DataFrame, keys: Sequence[str], column: str) -> DataFra
     key over many tasks; only what the array itself will hold meets in one row.
     A key with nulls only gets an empty array.
     """
+    require_keys(keys)
     columns = [name(k) for k in keys]
     pairs = df.select(*columns, name(column)).distinct()
     return pairs.groupBy(*columns).agg(F.array_sort(F.collect_list(name(column))).alias(column))
