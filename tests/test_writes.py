@@ -187,3 +187,12 @@ def test_locations_may_hold_quotes(spark, s):
     table = s.sink("t", COLUMNS)
     writes.replace_table(frame(spark, [(1, "a")]), table, s.path("it's"), "v1")
     assert rows(spark.table(table)) == [(1, "a")]
+
+
+def test_upsert_partitions_scans_only_the_touched(spark, s):
+    table = s.sink("p", UP, "day")
+    writes.append(frame(spark, [(i, "v", f"d{i}") for i in range(6)] + [(9, "n", None)], UP), table)
+    touched = frame(spark, [("d2",), ("d4",)], "day string")
+    read = writes._in_partitions(spark.table(table), touched, ["day"])
+    assert len(read.inputFiles()) == 2
+    assert sorted(r.k for r in read.collect()) == [2, 4]

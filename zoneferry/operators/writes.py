@@ -60,9 +60,14 @@ def _by_partition(df: DataFrame, table: str) -> DataFrame:
     return df.hint("rebalance", *[name(c) for c in columns]) if columns else df
 
 
-def append(df: DataFrame, table: str) -> int:
-    """Append rows by column name; returns how many were written."""
-    rows, seen = _counted(_by_partition(_conformed(df, table), table))
+def append(df: DataFrame, table: str, rebalance: bool = True) -> int:
+    """Append rows by column name; returns how many were written.
+
+    Rows that all go to one partition, or lie together by partition already,
+    need no rebalancing.
+    """
+    rows = _conformed(df, table)
+    rows, seen = _counted(_by_partition(rows, table) if rebalance else rows)
     rows.write.insertInto(table)
     return seen.get["rows"]
 
@@ -100,7 +105,8 @@ def fan_out(
 
 def archive(df: DataFrame, table: str, column: str, snapshot: Any) -> int:
     """Append rows to a history table, marked with their snapshot."""
-    return append(df.withColumn(column, F.lit(snapshot)), table)
+    marked = df.withColumn(column, F.lit(snapshot))
+    return append(marked, table, rebalance=partition_columns(df.sparkSession, table) != [column])
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> int:
@@ -147,8 +153,11 @@ def _in_partitions(df: DataFrame, touched: DataFrame, columns: Sequence[str]) ->
     pruned = df
     if len(values) <= PARTITIONS_IN_FILTER:
         for i, column in enumerate(columns):
-            found = sorted({row[i] for row in values if row[i] is not None})
-            pruned = pruned.where(name(column).isin(found) | name(column).isNull())
+            found = {row[i] for row in values}
+            touched_here = name(column).isin(sorted(found - {None}))
+            if None in found:
+                touched_here = touched_here | name(column).isNull()
+            pruned = pruned.where(touched_here)
     same = F.lit(True)
     for c in columns:
         same = same & F.col(f"l.{quoted(c)}").eqNullSafe(F.col(f"t.{quoted(c)}"))
