@@ -45,6 +45,18 @@ def digit_count(value: Column, scale: int) -> Column:
     return F.when(value.isNotNull(), F.coalesce(digits, F.lit(39)))
 
 
+def written_digits(text: Column) -> Column:
+    """Digits of a number kept as text, as they are written.
+
+    Sign, point, blanks and leading zeros do not count. Text in another form
+    counts as the whole number it casts to, or as 39 digits when it is none.
+    """
+    plain = text.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$")
+    significant = F.regexp_replace(text, r"^\s*[+-]?0*", "")
+    digits = F.length(F.regexp_replace(significant, "[^0-9]", ""))
+    return F.when(plain, digits).otherwise(digit_count(text, 0))
+
+
 def where_not(predicate: Column | str) -> Column:
     """The rows a DELETE with this predicate would keep: false or unknown."""
     return ~F.coalesce(as_column(predicate), F.lit(False))
