@@ -217,6 +217,13 @@ ORACLES: dict[str, str] = {
                CASE WHEN c_acctbal < 0 THEN -c_acctbal ELSE c_acctbal END AS c_acctbal,
                c_mktsegment
         FROM customer""",
+    "jdbc_serving_load": """
+        SELECT c_mktsegment AS name, count(*) AS n_rows,
+               CAST(sum(CASE WHEN c_acctbal < 0 THEN 0
+                             ELSE CAST(c_acctbal AS DECIMAL(18,2)) END) AS DOUBLE) AS balance
+        FROM customer GROUP BY c_mktsegment
+        UNION ALL
+        SELECT 'b1', count(*), 0.0 FROM customer WHERE c_acctbal < 0""",
     "changed_key_export": """
         SELECT DISTINCT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber
         FROM lineitem WHERE l_linestatus = 'O'""",

@@ -555,8 +555,7 @@ def serving_database(spark: SparkSession) -> jdbc.Database:
         return jdbc.Database(url, spark.conf.get("spark.zoneferry.jdbc.driver"))
     if not is_single_process(spark):
         raise RuntimeError("executors cannot reach an embedded database: set spark.zoneferry.jdbc.url")
-    log = f"{fresh_dir(spark, 'derby')}.log".removeprefix("file:")
-    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", log)
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.field", "java.lang.System.err")
     return jdbc.Database(
         "jdbc:derby:memory:zoneferry;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
     )
@@ -608,6 +607,44 @@ def jdbc_keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jdbc.scan(spark, db, f"SELECT * FROM {serving}", split_on='"c_custkey"')
 
 
+@registered
+def jdbc_serving_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = serving_database(spark)
+    serving = serving_table(spark, db)
+    batches = f"{serving}_b"
+    jdbc.execute(
+        spark, db, [f'CREATE TABLE {batches} ("batch_id" VARCHAR(20), "n_rows" BIGINT)']
+    )
+    jdbc.append(table(spark, sf_dir, "customer"), db, serving)
+    with scratch(spark, "serving") as s:
+        s.source(sf_dir, "customer")
+        jobs.load_serving(
+            spark,
+            db,
+            jobs.Load(
+                """SELECT c_custkey, c_name, c_nationkey, 0.0D AS c_acctbal, c_mktsegment
+                   FROM {db}.customer WHERE c_acctbal < 0""",
+                serving,
+                primary_key=["c_custkey"],
+                delete_where='"c_acctbal" < 0',
+                batch_sql="""SELECT :batch AS batch_id, count(*) AS n_rows
+                             FROM {db}.customer WHERE c_acctbal < 0""",
+                batch_table=batches,
+                batch_delete_where="\"batch_id\" = 'b1'",
+            ),
+            jobs.Binding({"db": s.db}, {"batch": "b1"}),
+        )
+    served = jdbc.scan(spark, db, f"SELECT * FROM {serving}", split_on='"c_custkey"')
+    per_segment = served.groupBy(F.col("c_mktsegment").alias("name")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(money("c_acctbal")).cast("double").alias("balance"),
+    )
+    recorded = jdbc.scan(spark, db, f"SELECT * FROM {batches}")
+    return per_segment.unionByName(
+        recorded.select(F.col("batch_id").alias("name"), "n_rows", F.lit(0.0).alias("balance"))
+    )
+
+
 # --- files -------------------------------------------------------------------
 
 
