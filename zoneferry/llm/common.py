@@ -6,9 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from zoneferry.functions.columns import name
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Texts turned into Python strings at a time, so that long ones do not add up.
 ROWS_AT_ONCE = 256
@@ -18,8 +16,11 @@ def table(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{which}.parquet")
 
 
-def column(which: str) -> Column:
-    return name(which)
+def tokenizer_path(which: str) -> str:
+    """A public tokenizer's file, which every node has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(which)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
