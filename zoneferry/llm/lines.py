@@ -47,16 +47,16 @@ def _key(line: Column, length: Column, i: int, shift: int, edits: int) -> Column
     return F.xxhash64(F.lit(i), length, F.substr(line, start + 1 + shift, size))
 
 
-def index_keys(line: Column, edits: int) -> Column:
-    length = F.length(line)
+def index_keys(line: Column, chars: Column, edits: int) -> Column:
+    length = chars
     return F.array(*[_key(line, length, i, 0, edits) for i in range(edits + 1)])
 
 
-def probe_keys(line: Column, edits: int) -> Column:
+def probe_keys(line: Column, chars: Column, edits: int) -> Column:
     """Keys of the segments a line of equal or lower length would have in this one."""
     keys = []
     for less in range(edits + 1):
-        length = F.length(line) - less
+        length = chars - less
         for i in range(edits + 1):
             for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
                 keys.append(_key(line, length, i, shift, edits))
@@ -72,20 +72,20 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 def _late_lines(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     """(line_id) of the distinct lines that have an earlier neighbour within the edits."""
-    index = lines.select(F.explode(index_keys(F.col("line"), edits)).alias("key"), "line_id")
+    index = lines.select(F.explode(index_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id")
     index = index.groupBy("key").agg(F.min("line_id").alias("lo"), F.max("line_id").alias("hi"))
-    probes = lines.select(F.explode(probe_keys(F.col("line"), edits)).alias("key"), "line_id")
+    probes = lines.select(F.explode(probe_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id")
     met = probes.join(index, "key").where((F.col("lo") != F.col("line_id")) | (F.col("hi") != F.col("line_id")))
     met = stage(met.select("key", "line_id").distinct(), "line-met")
 
-    own = lines.select(F.explode(index_keys(F.col("line"), edits)).alias("key"), "line_id")
+    own = lines.select(F.explode(index_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id")
     wanted = met.select("line_id").union(own.join(met.select("key").distinct(), "key", "left_semi").select("line_id"))
     wanted = stage(wanted.distinct(), "line-wanted")
-    texts = lines.join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.first("line").alias("line"))
+    texts = lines.join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.first("line").alias("line"), F.first("chars").alias("chars"))
     texts = stage(texts.join(distinct.select("line_id", "first"), "line_id"), "line-texts")
 
-    indexed = texts.select(F.explode(index_keys(F.col("line"), edits)).alias("key"), "line_id", "line", "first")
-    probing = texts.select(F.explode(probe_keys(F.col("line"), edits)).alias("key"), "line_id", "line", "first")
+    indexed = texts.select(F.explode(index_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id", "line", "first")
+    probing = texts.select(F.explode(probe_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id", "line", "first")
 
     def late(these: DataFrame, others: DataFrame) -> DataFrame:
         others = others.toDF("key", "line_id_2", "line_2", "first_2")
@@ -99,11 +99,11 @@ def _late_lines(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
 def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """(id, th, dropped): numbers from 0 of the lines to drop, for documents that have any."""
     split = F.posexplode(F.split("text", "\n")).alias("at", "line")
-    lines = _identified(docs).select("id", "th", split).where(F.length("line") >= MIN_CHARS)
+    lines = _identified(docs).select("id", "th", split).withColumn("chars", F.length("line")).where(f"chars >= {MIN_CHARS}")
     lines = lines.withColumn("line_id", F.xxhash64("line", F.length("line"), F.crc32(F.col("line").cast("binary"))))
     grouped = lines.groupBy("line_id").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("rows"))
     distinct = stage(grouped, "line-distinct")
-    late = _late_lines(lines.select("line_id", "line"), distinct, edits).withColumn("late", F.lit(True))
+    late = _late_lines(lines.select("line_id", "line", "chars"), distinct, edits).withColumn("late", F.lit(True))
     judged = distinct.join(late, "line_id", "left").where("late or rows > 1").select("line_id", "first", "late")
     placed = lines.select("id", "th", "at", "line_id").join(stage(judged, "line-judged"), "line_id")
     gone = placed.where(F.col("late").isNotNull() | (F.struct("id", "at") > F.col("first")))

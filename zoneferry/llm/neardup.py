@@ -267,7 +267,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of repeated rows with one id, one stays, whichever Spark meets first.
     """
-    kept = stage(near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct(), "near-kept")
-    own = F.col("doc_id").cast("bigint")
-    found = docs.join(kept, own.eqNullSafe(F.col("_kept_id")), "left_semi")
-    return found.dropDuplicates(["doc_id"])
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    kept = stage(kept.withColumn("_kept", F.coalesce(F.col("_kept_id").cast("string"), F.lit("none"))).select("_kept"), "near-kept")
+    own = docs.withColumn("_own", F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("none")))
+    found = own.join(kept, F.col("_own") == F.col("_kept"), "left_semi").dropDuplicates(["_own"])
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -38,11 +38,30 @@ REMEMBERED = 400_000
 _NOT_SPACE = r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
+# Letters, numbers and white space among the first 256 code points.
+_L = rb"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_N = rb"0-9\xb2\xb3\xb9\xbc-\xbe"
+_S = rb"\t-\r \x85\xa0"
+_SMALL = bytes(c + 32 if 0x41 <= c <= 0x5A or 0xC0 <= c <= 0xDE and c != 0xD7 else c for c in range(256))
+_SPECIAL = ("<|startoftext|>", "<|endoftext|>")
+#: Closes a word; never part of UTF-8.
+_CLOSE = b"\xff"
+
+
+def _byte_of() -> dict[str, int]:
+    """The printable stand-ins of bytes in byte-level vocabularies."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of a text as little-endian 32-bit words.
 
-    The tokenizer works within words between white space, so each word is
-    encoded once and remembered.
+    Texts of the first 256 code points are cut into the tokenizer's pieces here;
+    a piece is merged once by rank (in the vocabulary of word ends, a mark that
+    closes the word stands for the end) and remembered. For any other text the
+    tokenizer itself encodes each word between white space once.
     """
 
     def __init__(self, path: str):
@@ -50,24 +69,44 @@ class Encoder:
         import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words_of = re.compile(_NOT_SPACE).findall
-        self.known: dict[str, bytes] = {}
+        letters, numbers, others = b"[%s]+" % _L, b"[%s]" % _N, b"[^%s%s%s]+" % (_L, _N, _S)
+        self.pieces_of = re.compile(b"'s|'t|'re|'ve|'m|'ll|'d|" + b"|".join((letters, numbers, others))).findall
+        byte_of, ranks = _byte_of(), {}
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            body = token.removesuffix("</w>")
+            if all(c in byte_of for c in body) and number < 49406:
+                ranks[bytes(byte_of[c] for c in body) + _CLOSE * (body != token)] = number
+        ranks.setdefault(_CLOSE, 1 << 30)
+        self.merged = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        self.known: dict[bytes | str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [self.words_of(t) for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self.known.clear()
-            new = list({w for ws in words for w in ws})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in words]
+        return [self._encode(t) for t in texts]
+
+    def _encode(self, text: str) -> bytes:
+        known = self.known
+        try:
+            plain = text.encode("latin-1")
+        except UnicodeEncodeError:
+            plain = None
+        if plain is None or any(s in text for s in _SPECIAL):
+            words = self.words_of(text)
+            new = [w for w in set(words) if w not in known]
+            for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                known[word] = np.array(e.ids, "<u4").tobytes()
+            return b"".join(map(known.__getitem__, words))
+        pieces = self.pieces_of(plain.translate(_SMALL))
+        for piece in set(pieces).difference(known):
+            ids = self.merged(piece.decode("latin-1").encode() + _CLOSE)
+            known[piece] = np.array(ids, "<u4").tobytes()
+        return b"".join(map(known.__getitem__, pieces))
 
 
 _END = np.array([END_ID], "<u4").tobytes()
