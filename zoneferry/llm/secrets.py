@@ -60,6 +60,10 @@ RULES = (
 )
 
 
+#: A class of so few characters is written out as alternatives.
+FEW = 8
+
+
 def literals(pattern: str) -> list[list[str]]:
     """Alternatives of strings that every match contains, lower-cased."""
 
@@ -67,6 +71,8 @@ def literals(pattern: str) -> list[list[str]]:
         for kind, value in nodes:
             if kind is op.LITERAL:
                 ways = [(c, o + chr(value).lower()) for c, o in ways]
+            elif kind is op.IN and len(value) <= FEW and all(k is op.LITERAL for k, _ in value):
+                ways = [(c, o + chr(v).lower()) for c, o in ways for _, v in value]
             elif kind is op.SUBPATTERN:
                 ways = walk(value[3], ways)
             elif kind is op.BRANCH:
