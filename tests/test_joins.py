@@ -66,35 +66,20 @@ def test_two_unique_sides_are_joined_without_another_shuffle(shuffled):
     assert final_plan(joined.select("r.n", "a.x")).count("Exchange hashpartitioning") == 2
 
 
-def test_left_join_deals_hot_right_key(shuffled):
-    left = shuffled.range(0, 1000).select(
+@pytest.mark.parametrize("from_a_join", [False, True])
+def test_left_join_splits_hot_keys_of_both_sides(shuffled, from_a_join):
+    left = shuffled.range(0, 100).select(
         F.when(F.col("id") < 5, F.lit(None)).otherwise(F.col("id") - 5).alias("k"), "id"
     )
-    right = third_on_one_key(shuffled, 30_000)
-    joined = joins.left_join(left, right, ["k"], hot_rows=1_000).select("r.k", "r.id", "a.x")
-    assert "zf_part" in final_plan(joined)
+    right = third_on_one_key(shuffled)
+    if from_a_join:
+        names = shuffled.range(0, 150_000).select(F.col("id").alias("k"), F.lit("n").alias("name"))
+        right = right.join(names, "k").select("k", "x")
+    joined = joins.left_join(left, right, ["k"]).select("r.k", "r.id", "a.x")
+    assert "skew=true" in final_plan(joined)
     assert same_rows(joined, left.join(right, "k", "left").select("k", "id", "x"))
 
 
-def test_copies_of_one_row_are_dealt_over_parts(shuffled):
-    copies = shuffled.range(0, 40_000, 1, 16).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
-    left = shuffled.createDataFrame([(1,), (2,)], "k int")
-    joined = joins.left_join(left, copies, ["k"], hot_rows=5_000)
-    parts = joined.where("r.k = 1").groupBy("a.zf_part").count().collect()
-    assert len(parts) > 3
-    assert joined.count() == 40_001
-
-
-def test_hot_keys_are_few_and_ignore_nulls(spark):
-    df = spark.range(3_000).select(
-        F.when(F.col("id") < 1_500, F.lit(None)).otherwise(F.col("id") % 100).alias("k")
-    )
-    assert joins.hot_keys(df, ["k"], hot_rows=20).count() == 0
-    found = joins.hot_keys(df, ["k"], hot_rows=10).collect()
-    assert len(found) == 100
-    assert {r["zf_parts"] for r in found} == {2}
-
-
 def test_left_join_two_keys_and_odd_names(spark):
     left = spark.createDataFrame([(1, "a", 10), (1, "b", 20), (2, None, 30)], "`my key` int, k2 string, v int")
     right = spark.createDataFrame([(1, "a", 7), (1, "a", 8), (2, None, 9)], "`my key` int, k2 string, w int")
@@ -102,11 +87,10 @@ def test_left_join_two_keys_and_odd_names(spark):
     assert sorted(map(tuple, joined.collect()), key=repr) == [(10, 7), (10, 8), (20, None), (30, None)]
 
 
-@pytest.mark.parametrize("hot_rows", [2, 1_000])
-def test_left_join_on_names_with_dots_and_blanks(spark, hot_rows):
+def test_left_join_on_names_with_dots_and_blanks(spark):
     left = spark.range(3).toDF("a.b c")
     right = spark.range(0, 12, 1, 4).select((F.col("id") % 2).alias("a.b c"), F.col("id").alias("x"))
-    joined = joins.left_join(left, right, ["a.b c"], hot_rows=hot_rows)
+    joined = joins.left_join(left, right, ["a.b c"])
     got = sorted(map(tuple, joined.select("r.`a.b c`", "a.x").collect()), key=repr)
     assert got == sorted([(i % 2, i) for i in range(12)] + [(2, None)], key=repr)
 
@@ -141,8 +125,7 @@ def test_joins_need_keys(spark):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("hot_rows", [3, 1_000])
-def test_left_join_against_brute_force(spark, seed, hot_rows):
+def test_left_join_against_brute_force(spark, seed):
     """Random sides with repeated, missing, null and hot keys."""
     chance = random.Random(seed)
     keys = [None, 0, 0, 0, 1, 2, 3, 4]
@@ -156,7 +139,5 @@ def test_left_join_against_brute_force(spark, seed, hot_rows):
         spark.createDataFrame(left, "k int, x int"),
         spark.createDataFrame(right, "k int, y int").repartition(5),
         ["k"],
-        deal_by=["y"],
-        hot_rows=hot_rows,
     ).select("r.k", "r.x", "a.y")
     assert sorted(map(tuple, joined.collect()), key=repr) == sorted(expected, key=repr)

@@ -108,15 +108,30 @@ def test_upsert_partitions_touches_only_its_partitions(spark, s):
     assert sorted(os.listdir(s.path("p") + "/day=d1")) == untouched
 
 
-@pytest.mark.parametrize("listed", [0, 10_000])
-def test_upsert_partitions_loses_no_row_of_the_null_partition(spark, s, monkeypatch, listed):
-    monkeypatch.setattr(writes, "PARTITIONS_IN_FILTER", listed)
+def test_upsert_partitions_loses_no_row_of_the_null_partition(spark, s):
     table = s.sink("p", UP, "day")
     writes.append(frame(spark, [(1, "a", None), (2, "b", "d2")], UP), table)
     writes.upsert_partitions(frame(spark, [(3, "c", None), (4, "d", ""), (2, "B", "d2")], UP), table, ["k", "day"])
     assert rows(spark.table(table)) == [(1, "a", None), (2, "B", "d2"), (3, "c", None), (4, "d", None)]
 
 
+@pytest.mark.parametrize("day", ["", None])
+def test_upsert_into_the_null_partition_can_be_repeated(spark, s, day):
+    table = s.sink("p", UP, "day")
+    for _ in range(2):
+        writes.upsert_partitions(frame(spark, [(1, "a", day)], UP), table, ["k", "day"])
+    assert rows(spark.table(table)) == [(1, "a", None)]
+
+
+def test_statements_keep_partitions_they_do_not_write(spark, s):
+    table = s.sink("p", UP, "day")
+    writes.append(frame(spark, [(1, "a", "d1"), (2, "b", "d2")], UP), table)
+    change = frame(spark, [(3, "c", "d2")], UP)
+    statement = f"INSERT OVERWRITE TABLE {table} SELECT k, v, day FROM zt_change"
+    writes.fan_out(change, "zt_change", [statement])
+    assert rows(spark.table(table)) == [(1, "a", "d1"), (3, "c", "d2")]
+
+
 def test_upsert_partitions_needs_the_partition_in_the_key(spark, s):
     table = s.sink("p", UP, "day")
     with pytest.raises(ValueError):
@@ -192,7 +207,8 @@ def test_locations_may_hold_quotes(spark, s):
 def test_upsert_partitions_scans_only_the_touched(spark, s):
     table = s.sink("p", UP, "day")
     writes.append(frame(spark, [(i, "v", f"d{i}") for i in range(6)] + [(9, "n", None)], UP), table)
-    touched = frame(spark, [("d2",), ("d4",)], "day string")
-    read = writes._in_partitions(spark.table(table), touched, ["day"])
-    assert len(read.inputFiles()) == 2
-    assert sorted(r.k for r in read.collect()) == [2, 4]
+    touched = frame(spark, [("d2", 1), ("d4", 1)], f"day string, {writes.ROWS} long")
+    with writes.staged(touched) as listed:
+        read = writes._in_partitions(spark.table(table), listed, ["day"])
+        assert sorted(r.k for r in read.collect()) == [2, 4]
+        assert "dynamicpruning" in read._jdf.queryExecution().executedPlan().toString()

@@ -8,18 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from zoneferry.functions.columns import name, quoted
 
-# A key counts as hot above this share of all rows, so fewer than 1 / HOT_SHARE
-# keys can be hot, whatever the data: the bound that lets them be collected and
-# broadcast.
-HOT_SHARE = 0.001
-
-# Below this many rows one task handles a key easily.
-HOT_ROWS = 1_000_000
-
-PARTS = "zf_parts"
-PART = "zf_part"
 HIT = "zf_hit"
-COUNT = "zf_count"
 
 
 def require_keys(keys: Sequence[str]) -> None:
@@ -28,113 +17,62 @@ def require_keys(keys: Sequence[str]) -> None:
         raise ValueError("no key columns given")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys above ``hot_rows`` rows and above ``HOT_SHARE`` of all rows.
-
-    Adds the number of parts each is to be split into. Reads the key columns
-    only and counts before it shuffles. Null keys match nothing and are left out.
-    """
-    columns = [name(k) for k in keys]
-    known = df.select(*columns)
-    for column in columns:
-        known = known.where(column.isNotNull())
-    counts = known.groupBy(*columns).agg(F.count(F.lit(1)).alias(COUNT))
-    floor = counts.agg((F.sum(COUNT) * HOT_SHARE).alias("floor"))
-    return counts.where((F.col(COUNT) > hot_rows) & (F.col(COUNT) > floor.scalar())).select(
-        *columns, F.ceil(F.col(COUNT) / hot_rows).cast("int").alias(PARTS)
-    )
-
-
 def left_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     unique_left: bool = False,
     unique_right: bool = False,
-    deal_by: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``left r LEFT JOIN right a`` on equal keys; columns stay ``r.*`` and ``a.*``.
 
-    AQE splits hot keys of the left side on its own. It cannot split the right
-    side of an outer join, so that side is counted first. A side said to be
-    unique has one row per key, as after a grouping by it: it is not counted,
-    and two such sides are joined as they are partitioned.
+    AQE cannot split the right side of an outer join. Unless that side is unique
+    by key, the join is therefore made of an inner join, in which AQE splits hot
+    keys of either side, and the left rows without a match, padded with nulls.
+    Both inputs are read twice and must be the same each time. A side said to be
+    unique has one row per key, as after a grouping by it.
     """
     require_keys(keys)
     if unique_right:
-        return _plain_left_join(left, right, keys, split_left=not unique_left)
-    hot = hot_keys(right, keys, hot_rows)
-    found = hot.collect()
-    if not found:
-        return _plain_left_join(left, right, keys, split_left=not unique_left)
-    listed = left.sparkSession.createDataFrame(found, hot.schema)
-    return _dealt_left_join(left, right, keys, listed, deal_by)
+        return _plain_join(left, right, keys, "left", split=not unique_left)
+    matched = _plain_join(left, right, keys, "inner", split=True)
+    missing = anti_join(left, right, keys)
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    padded = missing.select(*[name(c) for c in left.columns], *nulls)
+    return matched.union(padded)
 
 
 def _same_keys(keys: Sequence[str]) -> list[Column]:
     return [F.col(f"r.{quoted(k)}") == F.col(f"a.{quoted(k)}") for k in keys]
 
 
-def _plain_left_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], split_left: bool
+def _plain_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, split: bool
 ) -> DataFrame:
-    """The join alone; ``split_left`` keeps it open to AQE's splitting of the left.
+    """The join alone; ``split`` keeps it open to AQE's splitting of hot keys.
 
-    AQE splits only where both inputs are shuffled for the join itself. A right
-    side grouped by the key would not be; joining on a fingerprint as well makes
-    it so.
+    AQE splits only where both inputs are shuffled for the join itself. A side
+    grouped or joined by the key would not be; joining on a fingerprint as well
+    makes it so.
     """
     same = _same_keys(keys)
-    if split_left:
+    if split:
         prints = [F.xxhash64(*[F.col(f"{side}.{quoted(k)}") for k in keys]) for side in "ra"]
         same.append(prints[0] == prints[1])
-    return left.alias("r").join(right.alias("a"), on=same, how="left")
-
-
-def _dealt_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    hot: DataFrame,
-    deal_by: Sequence[str],
-) -> DataFrame:
-    """Rows of a hot right key dealt out over parts, its left rows sent to each.
-
-    Where a part holds no match the padded row is dropped: the key has its
-    matches in other parts. Rows are dealt by the input partition they come
-    from, which a rerun task shares with its first attempt and which tells
-    copies apart, and by the ``deal_by`` columns if there are any.
-    """
-    hot = F.broadcast(hot)
-    parts = F.coalesce(F.col(PARTS), F.lit(1))
-    dealer = F.xxhash64(F.spark_partition_id(), *[name(c) for c in deal_by])
-    dealt = (
-        right.withColumn(HIT, dealer)
-        .join(hot, on=list(keys), how="left")
-        .withColumn(PART, F.pmod(F.col(HIT), parts).cast("int"))
-        .drop(PARTS)
-    )
-    spread = (
-        left.join(hot, on=list(keys), how="left")
-        .withColumn(PARTS, parts)
-        .withColumn(PART, F.explode(F.sequence(F.lit(0), F.col(PARTS) - 1)))
-    )
-    same = [*_same_keys(keys), F.col(f"r.{PART}") == F.col(f"a.{PART}")]
-    joined = spread.alias("r").join(dealt.alias("a"), on=same, how="left")
-    return joined.where((F.col(f"r.{PARTS}") == 1) | F.col(f"a.{HIT}").isNotNull())
+    return left.alias("r").join(right.alias("a"), on=same, how=how)
 
 
 def anti_join(
     left: DataFrame,
     keys: DataFrame,
     on: Sequence[str],
-    null_safe: bool = False,
+    null_safe: bool | Sequence[str] = False,
     unique_keys: bool = False,
 ) -> DataFrame:
     """The rows of ``left`` whose key is not in ``keys``.
 
-    A null key never matches unless ``null_safe``. The keys are made unique
+    A null key never matches unless ``null_safe``, for all columns or those it
+    names. The keys are made unique
     before they are joined, unless ``unique_keys`` says that they are: a written
     list of unique keys, small by its file size, is then broadcast and ``left``
     is not shuffled at all.
@@ -144,8 +82,10 @@ def anti_join(
     if not null_safe:
         return left.join(unique, on=list(on), how="left_anti")
     same: Column = F.lit(True)
+    safe = set(on) if null_safe is True else set(null_safe)
     for k in on:
-        same = same & F.col(f"l.{quoted(k)}").eqNullSafe(F.col(f"k.{quoted(k)}"))
+        ours, theirs = F.col(f"l.{quoted(k)}"), F.col(f"k.{quoted(k)}")
+        same = same & (ours.eqNullSafe(theirs) if k in safe else ours == theirs)
     return left.alias("l").join(unique.alias("k"), on=same, how="left_anti")
 
 

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from zoneferry.functions.columns import name
+from zoneferry.operators.writes import run_statement
 from zoneferry.session import setting
 from zoneferry.sources.catalog import run_sql
 from zoneferry.sources.files import KEY_CSV
@@ -62,6 +63,13 @@ def _ordered(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     return tie.orderBy(*[name(c) for c in order_by], "zf_row", "zf_part").drop("zf_row", "zf_part")
 
 
+def require_distinct(given: Sequence[str], what: str) -> None:
+    """Refuse names that would overwrite each other's output."""
+    twice = sorted({n for n in given if given.count(n) > 1})
+    if twice:
+        raise ValueError(f"repeated {what}: {twice}")
+
+
 def write_reports(
     spark: SparkSession,
     reports: Sequence[Report],
@@ -70,6 +78,7 @@ def write_reports(
     values: Mapping[str, Any] | None = None,
 ) -> list[tuple[str, int]]:
     """Write each report to ``folder/file_name``; returns names and rows in order."""
+    require_distinct([r.file_name for r in reports], "report file names")
     written = []
     for report in reports:
         df = run_sql(spark, report.sql, names, values)
@@ -123,7 +132,7 @@ def adhoc_query(
     Statements without output columns have run by then and write nothing. A
     result that already exists is not overwritten. Returns the path written.
     """
-    df = run_sql(spark, sql, names, values)
+    df = run_statement(spark, sql, names, values)
     if not df.columns:
         return None
     path = f"{folder.rstrip('/')}/{run_id}"

@@ -15,11 +15,24 @@ from zoneferry.session import setting, staged
 from zoneferry.sources.catalog import run_sql
 from zoneferry.sources.files import conform
 
-DYNAMIC = ("spark.sql.sources.partitionOverwriteMode", "dynamic")
+MODE = "spark.sql.sources.partitionOverwriteMode"
+DYNAMIC = (MODE, "dynamic")
+ROWS = "zf_rows"
 
-# Touched partitions are named in the scan up to this many; the catalog lists
-# the partitions of a table to the driver anyway. Beyond it they are joined.
-PARTITIONS_IN_FILTER = 10_000
+
+def run_statement(
+    spark: SparkSession,
+    sql: str,
+    names: Mapping[str, str] | None = None,
+    values: Mapping[str, Any] | None = None,
+    mode: str = "dynamic",
+) -> DataFrame:
+    """Run a caller's statement; an INSERT OVERWRITE replaces the partitions it writes.
+
+    With ``mode="static"`` it replaces all that its PARTITION clause covers.
+    """
+    with setting(spark, MODE, mode):
+        return run_sql(spark, sql, names, values)
 
 
 def table_name(table: str) -> str:
@@ -76,7 +89,7 @@ def append_with_record(df: DataFrame, table: str, record: str, **binding: Any) -
     """Append rows, then run the record statement unless there were none."""
     rows = append(df, table)
     if rows > 0:
-        run_sql(df.sparkSession, record, **binding)
+        run_statement(df.sparkSession, record, **binding)
     return rows
 
 
@@ -98,7 +111,7 @@ def fan_out(
         with staged(mapped, view) if several else nullcontext(mapped) as rows:
             rows.createOrReplaceTempView(view)
             for statement in statements:
-                run_sql(spark, statement, names, values)
+                run_statement(spark, statement, names, values)
     finally:
         mapped.createOrReplaceTempView(view)
 
@@ -129,11 +142,15 @@ def upsert_partitions(rows: DataFrame, table: str, on: Sequence[str]) -> int:
     columns = partition_columns(spark, table)
     if not columns or not set(columns) <= set(on):
         raise ValueError(f"the key must contain the partition columns of {table}")
-    with staged(_conformed(rows, table), "upsert") as new:
-        touched = new.select(*[_stored_value(new, c).alias(c) for c in columns]).distinct()
-        current = _in_partitions(spark.table(table), touched, columns)
-        kept = anti_join(current, new, on)
-        return overwrite_partitions(kept.unionByName(new), table)
+    stored = _conformed(rows, table)
+    for c in columns:
+        stored = stored.withColumn(c, _stored_value(stored, c))
+    with staged(stored, "upsert") as new:
+        listed = new.groupBy(*[name(c) for c in columns]).agg(F.count(F.lit(1)).alias(ROWS))
+        with staged(listed, "touched") as touched:
+            current = _in_partitions(spark.table(table), touched, columns)
+            kept = anti_join(current, new, on, null_safe=columns)
+            return overwrite_partitions(kept.unionByName(new), table)
 
 
 def _stored_value(df: DataFrame, column: str) -> Column:
@@ -144,24 +161,24 @@ def _stored_value(df: DataFrame, column: str) -> Column:
 
 
 def _in_partitions(df: DataFrame, touched: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows of ``df`` in the touched partitions.
+    """The rows of ``df`` in the touched partitions, a written list with their rows.
 
-    Up to ``PARTITIONS_IN_FILTER`` of them become a filter that prunes the scan,
-    column by column; the join then picks the exact combinations.
+    Known values are joined by plain equality against a filtered list, the form
+    that prunes partitions at run time, whatever their number. Partitions with a
+    null value are few and form a branch of their own.
     """
-    values = touched.limit(PARTITIONS_IN_FILTER + 1).collect()
-    pruned = df
-    if len(values) <= PARTITIONS_IN_FILTER:
-        for i, column in enumerate(columns):
-            found = {row[i] for row in values}
-            touched_here = name(column).isin(sorted(found - {None}))
-            if None in found:
-                touched_here = touched_here | name(column).isNull()
-            pruned = pruned.where(touched_here)
+    known, unknown = F.lit(True), F.lit(False)
+    for c in columns:
+        known, unknown = known & name(c).isNotNull(), unknown | name(c).isNull()
+    listed = touched.where(F.col(ROWS) >= 1)
+    plain = df.where(known).join(
+        listed.where(known).select(*[name(c) for c in columns]), on=list(columns), how="left_semi"
+    )
     same = F.lit(True)
     for c in columns:
         same = same & F.col(f"l.{quoted(c)}").eqNullSafe(F.col(f"t.{quoted(c)}"))
-    return pruned.alias("l").join(touched.alias("t"), on=same, how="left_semi")
+    nulls = df.where(unknown).alias("l").join(listed.where(unknown).alias("t"), on=same, how="left_semi")
+    return plain.select(*[name(c) for c in df.columns]).unionByName(nulls)
 
 
 def replace_table(df: DataFrame, table: str, base: str, run_id: str) -> str:

@@ -11,8 +11,8 @@ from zoneferry.functions.columns import name
 # Text that stands for a missing key, so that an empty key stays apart from it.
 NULL_KEY = "\\N"
 
-# Shared by the reader and the writer of key files, so that quotes, commas and
-# blanks inside a key come back as they were.
+# Shared by the reader and the writer of key files, so that quotes, commas,
+# blanks and line breaks inside a key come back as they were.
 KEY_CSV = {
     "header": True,
     "sep": ",",
@@ -20,6 +20,7 @@ KEY_CSV = {
     "nullValue": NULL_KEY,
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    "multiLine": True,
 }
 
 
