@@ -78,7 +78,7 @@ class Limits:
     max_class_distance: float = 0.31
     max_word_distance: float = 0.335
     min_chars: int = 400
-    min_words: int = 100
+    min_words: int = 200
     min_reference: int = 1000
     #: Languages with a profile of their own, by their number of words; the rest share one.
     languages: int = 1000
