@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F, types as T
 
+from zoneferry.operators import reports
 from zoneferry.session import delete_path, fresh_dir, shared_dir, stage, staged
 from zoneferry.sources import files
 
@@ -84,6 +85,14 @@ def test_two_key_csv_with_quotes(spark):
     assert got == {("a,1", "2"), ("b", "3"), ('say "hi"', "4")}
 
 
+def test_csv_keys_come_back_as_they_were(spark):
+    keys = ["a\nb", "a\r\nb", "\\N", "\\\\N", "\\n", "\\\n", 'q"', "a,b", "x y", "", "\\", "c:\\new", None]
+    path = fresh_dir(spark, "keys")
+    reports.export_keys(spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, n int"), path, "csv")
+    back = files.read_keys(spark, path, ["k", "n"], "csv").collect()
+    assert [r.k for r in sorted(back, key=lambda r: int(r.n))] == keys
+
+
 def test_staged_copy_is_removed_and_stage_is_not(spark):
     df = spark.range(3)
     with staged(df) as copy:

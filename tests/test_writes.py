@@ -167,6 +167,28 @@ def test_replace_partitioned_table_drops_old_partitions(spark, s):
     assert rows(spark.table(table)) == [(2, "b"), (3, "c"), (4, "d")]
 
 
+def test_a_broken_swap_can_be_repeated(spark, s, monkeypatch):
+    table = s.sink("p", COLUMNS, "v")
+    writes.append(frame(spark, [(1, "a"), (2, "b")]), table)
+    new = frame(spark, [(3, "c")])
+    real = writes.table_name
+
+    def lost(which):
+        if which == f"{table}_zf_new_v1" and not spark.catalog.tableExists(table):
+            raise RuntimeError("lost")
+        return real(which)
+
+    monkeypatch.setattr(writes, "table_name", lost)
+    with pytest.raises(RuntimeError):
+        writes.replace_table(new, table, s.path("versions"), "v1")
+    assert not spark.catalog.tableExists(table)
+    monkeypatch.undo()
+    writes.restore(spark, table)
+    assert rows(spark.table(table)) == [(1, "a"), (2, "b")]
+    writes.replace_table(new, table, s.path("versions"), "v1")
+    assert rows(spark.table(table)) == [(3, "c")]
+
+
 def test_repair_finds_new_directories(spark, s):
     frame(spark, [(1, "a"), (2, "b")]).write.partitionBy("v").parquet(s.path("p"))
     table = s.sink("p", COLUMNS, "v")

@@ -12,7 +12,7 @@ from zoneferry.functions.columns import name
 from zoneferry.operators.writes import run_statement
 from zoneferry.session import setting
 from zoneferry.sources.catalog import run_sql
-from zoneferry.sources.files import KEY_CSV
+from zoneferry.sources.files import KEY_CSV, key_text
 
 # Inner quotes doubled and blanks kept, so that values read back as they were.
 RESULT_CSV = {
@@ -112,11 +112,12 @@ def control_text(entries: DataFrame) -> DataFrame:
 
 def export_keys(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write the changed keys, each once. CSV is for readers that need text."""
-    writer = df.distinct().write.mode("overwrite")
+    keys = df.distinct()
     if fmt == "parquet":
-        writer.parquet(path)
+        keys.write.mode("overwrite").parquet(path)
     else:
-        writer.options(**KEY_CSV).csv(path)
+        lines = keys.select(*[key_text(name(c)).alias(c) for c in keys.columns])
+        lines.write.mode("overwrite").options(**KEY_CSV).csv(path)
 
 
 def adhoc_query(

@@ -186,9 +186,12 @@ def replace_table(df: DataFrame, table: str, base: str, run_id: str) -> str:
 
     Readers see the old files until the catalog changes, also when the write
     fails, and ``df`` may read the table it replaces. A failed run can be
-    repeated under its id; one that succeeded cannot. Returns the directory.
+    repeated under its id; one that succeeded cannot. The name of a partitioned
+    table is absent for a moment; ``restore`` mends a run that ended just then.
+    Returns the directory.
     """
     spark = df.sparkSession
+    restore(spark, table)
     path = f"{base.rstrip('/')}/{run_id}"
     if location(spark, table).endswith(f"/{run_id}"):
         raise ValueError(f"{table} already holds run {run_id}")
@@ -221,6 +224,25 @@ def _swap_partitioned(spark: SparkSession, table: str, path: str, run_id: str) -
     spark.sql(f"DROP TABLE {table_name(old)}")
 
 
+def restore(spark: SparkSession, table: str) -> None:
+    """Undo a swap that broke off between its renames, or clean up after one.
+
+    The old table gets its name back if no table bears it, and leaves the catalog
+    otherwise. Files stay. Must not run beside a swap of the same table.
+    """
+    database, dot, short = table.rpartition(".")
+    prefix = f"{short}_zf_old_".lower()
+    inside = f" IN {table_name(database)}" if dot else ""
+    for row in spark.sql(f"SHOW TABLES{inside} LIKE {_text(prefix + '*')}").collect():
+        old = f"{database}{dot}{row.tableName}"
+        if row.isTemporary or not row.tableName.lower().startswith(prefix):
+            continue
+        if spark.catalog.tableExists(table):
+            spark.sql(f"DROP TABLE {table_name(old)}")
+        else:
+            spark.sql(f"ALTER TABLE {table_name(old)} RENAME TO {table_name(table)}")
+
+
 def location(spark: SparkSession, table: str) -> str:
     """The directory a table reads."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(table)}")

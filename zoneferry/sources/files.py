@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from zoneferry.functions.columns import name
 
 # Text that stands for a missing key, so that an empty key stays apart from it.
 NULL_KEY = "\\N"
 
-# Shared by the reader and the writer of key files, so that quotes, commas,
-# blanks and line breaks inside a key come back as they were.
+# Shared by the reader and the writer of key files, so that quotes, commas and
+# blanks inside a key come back as they were.
 KEY_CSV = {
     "header": True,
     "sep": ",",
@@ -20,9 +20,31 @@ KEY_CSV = {
     "nullValue": NULL_KEY,
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
-    "multiLine": True,
 }
 
+# A key is one line, so that files can be split; what would break a line, or be
+# taken for such a mark, is written with a backslash.
+MARKS = {"\\": "\\\\", "\n": "\\n", "\r": "\\r"}
+
+
+def key_text(key: Column) -> Column:
+    """A key as it is written to a CSV list."""
+    text = key.cast("string")
+    for plain, marked in MARKS.items():
+        text = F.replace(text, F.lit(plain), F.lit(marked))
+    return text
+
+
+def key_value(text: Column) -> Column:
+    """The key that ``key_text`` wrote. Other backslashes stand for themselves."""
+
+    def breaks(part: Column) -> Column:
+        for plain in "\n\r":
+            part = F.replace(part, F.lit(MARKS[plain]), F.lit(plain))
+        return part
+
+    return F.array_join(F.transform(F.split(text, r"\\\\"), breaks), "\\")
+
 
 def read_keys(
     spark: SparkSession, path: str, columns: Sequence[str], fmt: str = "parquet"
@@ -30,13 +52,13 @@ def read_keys(
     """A list of changed keys, one row each.
 
     Parquet keys keep type and text exactly. CSV keys are text: the header line
-    is skipped and blanks around a key are trimmed.
+    is skipped, blanks around a key are trimmed and marked line breaks undone.
     """
     if fmt == "parquet":
         return spark.read.parquet(path).select(*[name(c) for c in columns])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = spark.read.schema(schema).options(**KEY_CSV).csv(path)
-    return raw.select(*[F.trim(name(c)).alias(c) for c in columns])
+    return raw.select(*[key_value(F.trim(name(c))).alias(c) for c in columns])
 
 
 def relax(schema: T.StructType) -> T.StructType:
