@@ -32,9 +32,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from zoneferry.llm.common import batch_of, map_slices, mixed, odd_words, rolling
+from zoneferry.llm.common import batch_of, map_slices, mixed, odd_words, rolling, texts
 from zoneferry.session import stage
 
 SHINGLE = 5
@@ -121,20 +121,39 @@ def _sketched(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+_NODED = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("text", pa.string())])
+
+
+def _noded(batch: pa.RecordBatch) -> pa.RecordBatch:
+    sets = [shingles(t) for t in texts(batch, "text")]
+    return batch_of(_NODED, [batch.column("key"), [_node(s) if len(s) else None for s in sets], batch.column("text")])
+
+
+_SET = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
 
 def _set_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    sets = [shingles(t or "") for t in batch.column("text").to_pylist()]
+    sets = [shingles(t) for t in texts(batch, "text")]
     values = pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))
     ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-    return batch_of(
-        _SETS,
-        [batch.column("doc_id"), [_node(s) if len(s) else None for s in sets], pa.ListArray.from_arrays(pa.array(ends), values)],
-    )
+    return batch_of(_SET, [batch.column("node"), pa.ListArray.from_arrays(pa.array(ends), values)])
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _verified(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Those of the pairs whose full sets are as similar as the threshold asks."""
+    sets: dict[int, np.ndarray] = {}
+
+    def of(node: int, text: str) -> np.ndarray:
+        if node not in sets:
+            sets[node] = shingles(text)
+        return sets[node]
+
+    near = []
+    for a, b, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))):
+        x, y = of(a, text_a), of(b, text_b)
+        shared = len(np.intersect1d(x, y, assume_unique=True))
+        near.append(shared * DENOMINATOR >= (len(x) + len(y) - shared) * NUMERATOR)
+    return batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
 
 def _likely(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -158,24 +177,30 @@ def _likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return stage(map_slices(ends, _likely, "a bigint, b bigint", 4096), "near-likely")
 
 
-def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, shingles) of some classes from the text of one document each, staged."""
-    wanted = stage(nodes.join(classes.select("node", "rep"), "node"), "near-wanted")
-    texts = docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = map_slices(texts, _set_rows, "doc_id bigint, node bigint, shingles array<bigint>")
-    sets = sets.join(wanted.select(F.col("rep").alias("doc_id"), "node"), ["doc_id", "node"], "left_semi")
-    return stage(sets.dropDuplicates(["node"]).select("node", "shingles"), "near-sets")
+def _texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of some classes, the text of one document each, staged.
+
+    Texts travel instead of sets: they compress, fingerprints do not.
+    """
+    wanted = stage(nodes.join(classes.select("node", _key("rep")), "node"), "near-wanted")
+    own = docs.select(_key("doc_id"), "text").join(wanted.select("key").distinct(), "key", "left_semi")
+    noded = map_slices(own, _noded, "key bigint, node bigint, text string")
+    noded = noded.join(wanted, ["key", "node"], "left_semi")
+    return stage(noded.dropDuplicates(["node"]).select("node", "text"), "near-texts")
+
+
+def _key(which: str) -> Column:
+    """A document id to join on, with one value for null."""
+    return F.coalesce(which, F.lit(-(1 << 63))).alias("key")
 
 
-def _linked(likely: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(likely: DataFrame, held: DataFrame) -> DataFrame:
     """Those of the pairs that are linked on their full sets, staged."""
-    both = likely.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    total = F.size("set_a") + F.size("set_b") - shared
-    return stage(both.where(shared * DENOMINATOR >= total * NUMERATOR).select("a", "b"), "near-links")
+    both = likely.join(held.toDF("a", "text_a"), "a").join(held.toDF("b", "text_b"), "b")
+    return stage(map_slices(both, _verified, "a bigint, b bigint"), "near-links")
 
 
-def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
+def _across(rest: DataFrame, held: DataFrame) -> DataFrame:
     """Pairs of classes (node, label, n) of two components that may be linked; exact.
 
     A set of n shingles that is linked with another shares one of its
@@ -184,6 +209,7 @@ def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
     nothing. At the rarest common shingle, what is left of either set must
     still hold the whole overlap the threshold asks for.
     """
+    sets = map_slices(held, _set_rows, "node bigint, shingles array<bigint>")
     shingled = sets.select("node", F.explode("shingles").alias("shingle"))
     common = shingled.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     ranked = shingled.join(common, "shingle").groupBy("node")
@@ -240,15 +266,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = members.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     likely = _likely_pairs(stars, classes)
     nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    links = _linked(likely, _sets_of(nodes, classes, docs))
+    links = _linked(likely, _texts_of(nodes, classes, docs))
     labels = components(links)
 
     left = _labelled(members.select("slot", "node"), labels)
     open_ = left.groupBy("slot").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("slot")
     rest = left.join(open_, "slot", "left_semi").select("node", "label").distinct()
     rest = stage(rest.join(classes.select("node", "n"), "node"), "near-rest")
-    sets = _sets_of(rest.select("node"), classes, docs)
-    more = _linked(_likely_pairs(_across(rest, sets), classes), sets)
+    held = _texts_of(rest.select("node"), classes, docs)
+    more = _linked(_likely_pairs(_across(rest, held), classes), held)
     if not more.isEmpty():
         labels = components(links.union(more))
 
