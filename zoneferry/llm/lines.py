@@ -10,9 +10,10 @@ number). Shorter lines are left alone: they say too little to be told apart.
    are indexed by line length, number and content; the longer line probes the
    lengths it can match, at the starts that the number of edits on either side
    allows.
-3. Only lines that share a key with a different line go on with their text. There
-   a semi join on the keys verifies by edit distance within the band, so a line
-   needs one earlier neighbour and no pairs are listed.
+3. Only lines that share a key with a different line go on with their text, and
+   only under the keys they share. There a semi join on the keys verifies by edit
+   distance within the band, so a line needs one earlier neighbour and no pairs are
+   listed.
 
 All of it is DataFrame functions. Frequent lines are combined before they shuffle.
 
@@ -79,16 +80,15 @@ def _late_lines(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     met = stage(met.select("key", "line_id").distinct(), "line-met")
 
     own = lines.select(F.explode(index_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id")
-    wanted = met.select("line_id").union(own.join(met.select("key").distinct(), "key", "left_semi").select("line_id"))
-    wanted = stage(wanted.distinct(), "line-wanted")
-    texts = lines.join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.first("line").alias("line"), F.first("chars").alias("chars"))
+    own = stage(own.join(met.select("key").distinct(), "key", "left_semi").distinct(), "line-own")
+    wanted = stage(met.select("line_id").union(own.select("line_id")).distinct(), "line-wanted")
+    texts = lines.join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.first("line").alias("line"))
     texts = stage(texts.join(distinct.select("line_id", "first"), "line_id"), "line-texts")
-
-    indexed = texts.select(F.explode(index_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id", "line", "first")
-    probing = texts.select(F.explode(probe_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id", "line", "first")
+    indexed, probing = own.join(texts, "line_id"), met.join(texts, "line_id")
 
     def late(these: DataFrame, others: DataFrame) -> DataFrame:
-        others = others.toDF("key", "line_id_2", "line_2", "first_2")
+        these = these.select("key", "line_id", "line", "first")
+        others = others.select(*these.columns).toDF("key", "line_id_2", "line_2", "first_2")
         near = F.levenshtein("line", "line_2", edits) >= 0
         earlier = (these["key"] == others["key"]) & (F.col("line_id") != F.col("line_id_2")) & (F.col("first_2") < F.col("first"))
         return these.join(others, earlier & near, "left_semi").select("line_id")
