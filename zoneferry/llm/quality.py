@@ -96,7 +96,10 @@ def measures(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
     ids = np.array([seen.setdefault(w, len(seen)) for w in words], np.int64)
     repeated = 0
     if len(ids) >= 3:
-        key = (ids[:-2] * len(seen) + ids[1:-1]) * len(seen) + ids[2:]
+        two = ids[:-2] * len(seen) + ids[1:-1]
+        if len(seen) >= 1 << 21:  # three numbers of words no longer fit 64 bits
+            two = np.unique(two, return_inverse=True)[1]
+        key = two * len(seen) + ids[2:]
         ordered = np.sort(key)
         again = ordered[1:][ordered[1:] == ordered[:-1]]
         if len(again):
