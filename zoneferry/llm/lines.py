@@ -32,6 +32,8 @@ from zoneferry.session import stage
 EDITS = 2
 MIN_CHARS = 20
 NULL_ID = -(1 << 63)
+#: What is broadcast to spare rows a shuffle has this many rows at most, at any size.
+SLOTS = 1 << 20
 
 
 def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
@@ -71,6 +73,16 @@ def _identified(docs: DataFrame) -> DataFrame:
     )
 
 
+def _among(rows: DataFrame, wanted: DataFrame, on: str) -> DataFrame:
+    """Rows whose hash ``on`` may be among the wanted: those of an equal residue.
+
+    A join by the hash itself still has to follow. Only residues are broadcast, so
+    the bound is SLOTS rows; the more hashes are wanted, the fewer rows this spares.
+    """
+    slots = wanted.select(F.pmod(on, F.lit(SLOTS)).alias("slot")).distinct()
+    return rows.join(F.broadcast(slots), F.pmod(rows[on], F.lit(SLOTS)) == slots["slot"], "left_semi")
+
+
 def _late_lines(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     """(line_id) of the distinct lines that have an earlier neighbour within the edits."""
     index = lines.select(F.explode(index_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id")
@@ -80,9 +92,10 @@ def _late_lines(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     met = stage(met.select("key", "line_id").distinct(), "line-met")
 
     own = lines.select(F.explode(index_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id")
-    own = stage(own.join(met.select("key").distinct(), "key", "left_semi").distinct(), "line-own")
+    own = _among(own, met, "key").join(met.select("key").distinct(), "key", "left_semi")
+    own = stage(own.distinct(), "line-own")
     wanted = stage(met.select("line_id").union(own.select("line_id")).distinct(), "line-wanted")
-    texts = lines.join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.first("line").alias("line"))
+    texts = _among(lines, wanted, "line_id").join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.first("line").alias("line"))
     texts = stage(texts.join(distinct.select("line_id", "first"), "line_id"), "line-texts")
     indexed, probing = own.join(texts, "line_id"), met.join(texts, "line_id")
 
@@ -105,7 +118,8 @@ def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     distinct = stage(grouped, "line-distinct")
     late = _late_lines(lines.select("line_id", "line", "chars"), distinct, edits).withColumn("late", F.lit(True))
     judged = distinct.join(late, "line_id", "left").where("late or rows > 1").select("line_id", "first", "late")
-    placed = lines.select("id", "th", "at", "line_id").join(stage(judged, "line-judged"), "line_id")
+    judged = stage(judged, "line-judged")
+    placed = _among(lines.select("id", "th", "at", "line_id"), judged, "line_id").join(judged, "line_id")
     gone = placed.where(F.col("late").isNotNull() | (F.struct("id", "at") > F.col("first")))
     return gone.groupBy("id", "th").agg(F.array_sort(F.collect_set("at")).alias("dropped"))
 
