@@ -227,7 +227,7 @@ ORACLES: dict[str, str] = {
     "changed_key_export": """
         SELECT DISTINCT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber
         FROM lineitem WHERE l_linestatus = 'O'""",
-    "report_csv": "SELECT doc_id, lang, source, n_chars FROM documents",
+    "report_csv": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "report_manifest": """
         SELECT 'open_orders.csv' AS report, 1 AS position, count(*) AS rows,
                DATE '2024-01-01' AS start_date, DATE '2024-01-31' AS end_date, 3 AS control_lines

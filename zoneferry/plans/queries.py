@@ -658,10 +658,10 @@ def changed_key_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "report")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     reports.write_report(documents, path, order_by=["doc_id"])
-    columns = "doc_id bigint, lang string, source string, n_chars bigint"
-    return spark.read.schema(columns).options(**reports.REPORT_CSV).csv(path)
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    return spark.read.schema(columns).options(**reports.REPORT_CSV, multiLine=True).csv(path)
 
 
 @registered

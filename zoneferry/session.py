@@ -61,6 +61,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all paths of this application below the shared folder.
+
+    For when every result has been consumed: results that are not written
+    elsewhere still read their staged copies.
+    """
+    delete_path(spark, f"{shared_dir(spark)}/zoneferry/{spark.sparkContext.applicationId}")
+
+
 def _write_copy(df: DataFrame, label: str) -> tuple[str, DataFrame]:
     """Write ``df`` below the shared folder; returns the path and the copy.
 
