@@ -2,4 +2,78 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+#: One step per bit of the reflected CRC-32 polynomial; DuckDB has no such function.
+CRC32 = """xor(list_reduce(
+    flatten(list_transform(string_split({text}, ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: CASE WHEN (CASE WHEN x >= 0 THEN xor(c, x) ELSE c END) % 2 = 1
+        THEN xor((CASE WHEN x >= 0 THEN xor(c, x) ELSE c END) >> 1, 3988292384)
+        ELSE (CASE WHEN x >= 0 THEN xor(c, x) ELSE c END) >> 1 END,
+    4294967295), 4294967295)"""
+
+
+def crc32(text: str) -> str:
+    return CRC32.format(text=text)
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _raised(below: str, level: int) -> list[str]:
+    """Nodes (tree, i, d, n) of the next level; a tree's only node stays as it is."""
+    return [
+        f"""runs{level} AS (SELECT tree, i // 16 AS run, string_agg(d, '' ORDER BY i) AS run_text, any_value(n) AS n
+            FROM {below} GROUP BY ALL)""",
+        f"""nodes{level} AS (SELECT tree, run AS i, CASE WHEN n > 1 THEN sha256(run_text) ELSE run_text END AS d,
+            count(*) OVER (PARTITION BY tree) AS n FROM runs{level})""",
+    ]
+
+
+def _climbed(paths: str, level: int) -> str:
+    """Paths (row, tree, i, now, proof) after the runs of a level."""
+    before = "substr(run_text, 1, 64 * (i % 16))"
+    after = "substr(run_text, 64 * (i % 16) + 65)"
+    return f"""path{level} AS (SELECT p.* REPLACE (i // 16 AS i,
+            CASE WHEN n > 1 THEN sha256({before} || now || {after}) ELSE now END AS now,
+            CASE WHEN n > 1 THEN proof || {before} || {after} ELSE proof END AS proof)
+        FROM {paths} p JOIN runs{level} r ON r.tree = p.tree AND r.run = p.i // 16)"""
+
+
+#: Levels of one source's tree and of the tree over sources: 16 ** 5 leaves each.
+DEPTH = 5
+
+
+def _merkle() -> str:
+    changed = f"{crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        f"""leaves AS (SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf('text')} AS d,
+            CASE WHEN {changed} THEN {_leaf(lower)} ELSE {_leaf('text')} END AS now FROM documents)""",
+        """nodes0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS i,
+            count(*) OVER (PARTITION BY tree) AS n FROM leaves)""",
+        "path0 AS (SELECT doc_id, d AS leaf, tree, i, now, '' AS proof FROM nodes0)",
+    ]
+    for level in range(1, DEPTH + 1):
+        steps += [*_raised(f"nodes{level - 1}", level), _climbed(f"path{level - 1}", level)]
+    top = DEPTH + 1
+    steps += [
+        f"subroots AS (SELECT tree, d AS subroot FROM nodes{DEPTH})",
+        """trees AS (SELECT '' AS tree, tree AS source, subroot AS d, row_number() OVER (ORDER BY tree) - 1 AS i,
+            count(*) OVER () AS n FROM subroots)""",
+        f"""up AS (SELECT doc_id, leaf, d AS subroot, t.tree, t.i, now, proof
+            FROM path{DEPTH} p JOIN trees t ON t.source = p.tree)""",
+    ]
+    below, paths = "trees", "up"
+    for level in range(top, top + DEPTH):
+        steps += [*_raised(below, level), _climbed(paths, level)]
+        below, paths = f"nodes{level}", f"path{level}"
+    return f"""WITH {", ".join(steps)}
+        SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = d AS verified
+        FROM {paths} p JOIN {below} n ON n.tree = p.tree"""
+
+
+ORACLES: dict[str, str] = {"op11_merkle_manifest": _merkle()}

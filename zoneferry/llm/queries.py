@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import string
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zoneferry.llm import decontam, lines, neardup, packing, pages, quality, secrets, substrings, tokencount, warc
+from zoneferry.llm import decontam, lines, merkle, neardup, packing, pages, periodic, quality, secrets, substrings, tokencount, toxicity, warc
 from zoneferry.llm.common import table, tokenizer_path
 
 
@@ -57,6 +59,49 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("path", F.element_at(F.split("path", "/"), -1)).withColumnRenamed("path", "file")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 5 divides a document's crc32, its text is found in lower case later."""
+    marked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    found = merkle.build(table(spark, sf_dir, "documents"), F.when(marked, lowered))
+    return merkle.proofs(found).withColumnRenamed("proof", "proof_sha256")
+
+
+def planted_period(doc_id: int | None, words: list) -> list:
+    """The words, from some place on repeated with a period in every tenth document."""
+    if doc_id is None or not words:
+        return words
+    g, tenth = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if tenth:
+        return words
+    start = g % len(words)
+    period = 1 + (len(words) - start) // (3 + g % 8)
+    return words[:start] + [words[start + i % period] for i in range(len(words) - start)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(table(spark, sf_dir, "documents"), planted_period)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    held_out = toxicity.held_out(F.col("doc_id")).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -70,5 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_html_extraction,
         op10_token_counts,
+        op11_merkle_manifest,
+        op12_periodic_runs,
+        op13_toxicity,
     )
 }
