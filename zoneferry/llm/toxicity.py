@@ -3,8 +3,8 @@
 Labels are of whole documents; tokens are labelled from them first.
 
 1. Evidence. A token (``[^\\W_]+``) has as features itself and its beginnings and ends, in
-   lower case. Of all labelled training documents it is counted how many toxic and how many
-   clean ones hold a feature. Features that few toxic documents hold are left out (a
+   lower case. Of at most ``LABELLED`` training documents of either label, by hash of the
+   id, it is counted how many toxic and how many clean ones hold a feature. Features that few toxic documents hold are left out (a
    share, so the number of features is bounded by the mean length of a toxic
    document over that share). A feature far more frequent among toxic documents is evidence.
 2. Labelled tokens. In a toxic document a token with evidence is toxic; every other
@@ -17,9 +17,9 @@ Labels are of whole documents; tokens are labelled from them first.
    is toxic; two numbers, fitted to at most ``JUDGED`` labelled documents of either label,
    scale these odds to a score. Tokens above one half are its offending spans.
 
-A model is some numbers per feature and goes to the tasks with the code. Labels are joined to
-training documents only, and their texts are written once; scoring reads each text
-once and shuffles nothing.
+A model is some numbers per feature and goes to the tasks with the code. The sampled labels
+are broadcast, so no text is shuffled; the sample's texts are written once. Scoring covers
+every text whole, in one pass.
 
 Defined results: a null, empty or blank text has no tokens and gets the score of no
 evidence; repeated rows get equal results; a document with several labels is toxic if any says so;
@@ -55,8 +55,9 @@ TIMES = 20.0
 CHAIN = 128
 #: Tokens a task remembers the weights of.
 REMEMBERED = 300_000
-#: Bounds of the samples that weights are fitted to.
-CHAINS, JUDGED = 4_000, 2_000
+#: Bounds of the samples a model is fitted to: labelled documents of either label, chains
+#: with and without a toxic token, and documents of either label that scale the scores.
+LABELLED, CHAINS, JUDGED = 8_000, 4_000, 2_000
 STEPS, RATE, PENALTY = 80, 0.2, 1e-4
 #: Log-odds beyond which one token or document is as good as certain.
 CERTAIN = 20.0
@@ -210,44 +211,51 @@ class Model:
         odds = own[chains.codes] + self.bias if len(chains.codes) else np.zeros(0)
         return expectations(odds, chains.at, chains.chain, self.moves, self.start)[0]
 
-    def evidence(self, texts_: list[str]) -> np.ndarray:
-        """Log-odds that a text has a toxic token, by its tokens' marginals."""
-        chains = Chains(texts_)
-        none = np.log1p(-np.minimum(self.marginals(chains), 1 - 1e-12))
-        none = np.bincount(chains.doc, none, len(texts_))
+    def evidence(self, chains: Chains, marginals: np.ndarray, n: int) -> np.ndarray:
+        """Log-odds that a text, of ``n``, has a toxic token, by its tokens' marginals."""
+        none = np.bincount(chains.doc, np.log1p(-np.minimum(marginals, 1 - 1e-12)), n)
         return np.clip(np.log(np.maximum(-np.expm1(none), 1e-300)) - none, -CERTAIN, CERTAIN)
 
     def scores(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.slope * evidence + self.shift)))
 
-    def spans(self, text: str) -> list[tuple[int, int]]:
-        """Start and end, in code points, of the offending stretches of a text."""
-        chains = Chains([text])
-        toxic = self.marginals(chains) > 0.5
-        found: list[tuple[int, int]] = []
-        tokens = (m for m in _TOKEN.finditer(text) if m[0] not in _ENDS)
-        last = -2
-        for i, m in enumerate(tokens):
-            if toxic[i]:
-                if last == i - 1 and chains.chain[i] == chains.chain[i - 1]:
-                    found[-1] = (found[-1][0], m.end())
-                else:
-                    found.append((m.start(), m.end()))
-                last = i
-        return found
+
+def spans(text: str, toxic: np.ndarray, chain: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end, in code points, of the stretches of toxic tokens of a text.
+
+    ``toxic`` numbers the toxic tokens; neighbours of one chain (``chain``, by token) join.
+    """
+    found: list[tuple[int, int]] = []
+    wanted = iter(toxic.tolist())
+    next_, last = next(wanted, None), -2
+    tokens = (m for m in _TOKEN.finditer(text) if m[0] not in _ENDS)
+    for i, m in enumerate(tokens):
+        if next_ is None:
+            break
+        if i == next_:
+            if last == i - 1 and chain[i] == chain[last]:
+                found[-1] = (found[-1][0], m.end())
+            else:
+                found.append(m.span())
+            next_, last = next(wanted, None), i
+    return found
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled documents that train, staged."""
+def _training(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
+    """(doc_id, text, toxic) of the sample that trains, staged; toxic and clean labels in all."""
     known = labels.where("toxic is not null and doc_id is not null")
-    known = known.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    known = known.where(~held_out(F.col("doc_id")))
-    own = docs.where(~held_out(F.col("doc_id")))
-    return stage(own.join(known, "doc_id").where("text is not null"), "toxic-training")
+    known = known.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max(F.col("toxic").cast("int") != 0).alias("toxic"))
+    known = stage(known.where(~held_out(F.col("doc_id"))), "toxic-labels")
+    n_toxic, n_clean = (known.where(F.col("toxic") == is_toxic).count() for is_toxic in (True, False))
+    parts = [known.where(F.col("toxic") == is_toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED) for is_toxic in (True, False)]
+    sample = stage(parts[0].unionByName(parts[1]), "toxic-sample")
+    own = docs.where(F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    # twice LABELLED rows of an id and a flag at most
+    return stage(own.join(F.broadcast(sample), "doc_id"), "toxic-training"), n_toxic, n_clean
 
 
 def _counted(docs: DataFrame, among: frozenset[str] | None) -> DataFrame:
@@ -355,11 +363,12 @@ def _constant(share: float) -> Model:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The field learnt from the labelled documents that are not held out."""
-    rows = _training(docs.select(F.col("doc_id").cast("bigint"), "text"), labels)
-    toxic, clean = rows.where("toxic = 1"), rows.where("toxic != 1")
+    rows, all_toxic, all_clean = _training(docs.select(F.col("doc_id").cast("bigint"), "text"), labels)
+    share = all_toxic / max(all_toxic + all_clean, 1)
+    toxic, clean = rows.where("toxic"), rows.where("not toxic")
     n_toxic, n_clean = toxic.count(), clean.count()
     if not n_toxic or not n_clean:
-        return _constant(n_toxic / max(n_toxic + n_clean, 1))
+        return _constant(share)
     enough = max(LEAST, int(np.ceil(SHARE * n_toxic)))
     common = {r["feature"]: r["n"] for r in _counted(toxic, None).where(F.col("n") >= enough).collect()}
     others = {r["feature"]: r["n"] for r in _counted(clean, frozenset(common)).collect()}
@@ -369,7 +378,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     evidence = frozenset(f for f in common if times(f) >= TIMES)
     if not evidence:
-        return _constant(n_toxic / (n_toxic + n_clean))
+        return _constant(share)
     parts = [(toxic, True), (toxic, False), (clean, False)]
     bounds = [CHAINS, CHAINS // 2, CHAINS // 2]
     chains, marks = [], []
@@ -380,16 +389,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     learnt = Model(*_fitted(chains, marks, sorted(common)), 1.0, 0.0)
     judged = [_evidence(part.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(JUDGED), learnt) for part in (toxic, clean)]
     found = [np.array([r["evidence"] for r in j.collect()]) for j in judged]
-    # Odds as among all training documents, whatever their share in the sample.
+    # Odds as among all training labels, whatever their share in the sample.
     y = np.concatenate([np.ones(len(found[0])), np.zeros(len(found[1]))])
     slope, shift = _scaled(np.concatenate(found), y)
-    shift += float(np.log(n_toxic / n_clean) - np.log(len(found[0]) / len(found[1])))
+    shift += float(np.log(all_toxic / all_clean) - np.log(len(found[0]) / len(found[1])))
     return Model(learnt.weights, learnt.bias, learnt.moves, learnt.start, slope, shift)
 
 
 def _evidence(docs: DataFrame, model: Model) -> DataFrame:
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(model.evidence(texts(batch, "text")), pa.float64())], names=["evidence"])
+        chains = Chains(texts(batch, "text"))
+        found = model.evidence(chains, model.marginals(chains), batch.num_rows)
+        return pa.record_batch([pa.array(found, pa.float64())], names=["evidence"])
 
     return map_slices(docs.select("text"), rows, "evidence double")
 
@@ -404,10 +415,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         held = texts(batch, "text")
-        evidence = model.evidence(held)
-        # a token above one half makes the evidence positive
-        spans = [[{"start": a, "end": b} for a, b in model.spans(t)] if e > 0 else [] for t, e in zip(held, evidence)]
-        return batch_of(_SCORED, [batch.column("doc_id"), model.scores(evidence), spans])
+        chains = Chains(held)
+        marginals = model.marginals(chains)
+        evidence = model.evidence(chains, marginals, len(held))
+        found: list[list[dict[str, int]]] = [[] for _ in held]
+        toxic = np.flatnonzero(marginals > 0.5)
+        for k in np.unique(chains.doc[toxic]).tolist():
+            a, b = np.searchsorted(chains.doc, [k, k + 1])
+            inside = toxic[np.searchsorted(toxic, a) : np.searchsorted(toxic, b)] - a
+            found[k] = [{"start": x, "end": y} for x, y in spans(held[k], inside, chains.chain[a:b])]
+        return batch_of(_SCORED, [batch.column("doc_id"), model.scores(evidence), found])
 
     schema = "doc_id bigint, score double, spans array<struct<start: int, end: int>>"
     return map_slices(docs.select(F.col("doc_id").cast("bigint"), "text"), rows, schema)
