@@ -141,3 +141,44 @@ def test_left_join_against_brute_force(spark, seed):
         ["k"],
     ).select("r.k", "r.x", "a.y")
     assert sorted(map(tuple, joined.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_left_join_salts_hot_right_keys_in_one_join(shuffled, tmp_path):
+    """Two scans, one join, and the hot key's rows over many tasks."""
+    left_path, right_path = str(tmp_path / "left"), str(tmp_path / "right")
+    shuffled.range(0, 5_000).select((F.col("id") - 10).alias("k"), "id").write.parquet(left_path)
+    third_on_one_key(shuffled).withColumn("k", F.when(F.col("x") % 50 == 1, None).otherwise(F.col("k"))).write.parquet(right_path)
+    left, right = shuffled.read.parquet(left_path), shuffled.read.parquet(right_path)
+    hot = {r[joins.ITEM]: r[joins.SALTS] for r in joins.hot_keys(right, ["k"]).collect()}
+    assert set(hot) == {'{"k0":"0"}'} and hot['{"k0":"0"}'] >= 4
+    joined = joins.left_join(left, right, ["k"])
+    assert joined.columns == ["k", "id", "k", "x"]
+    plan = final_plan(joined.select("r.k", "r.id", "a.x"))
+    assert plan.count("Scan parquet") == 2 and plan.count("SortMergeJoin") == 1
+    assert same_rows(joined.select("r.k", "r.id", "a.x"), left.join(right, "k", "left").select("k", "id", "x"))
+    with setting(shuffled, "spark.sql.adaptive.enabled", "false"):
+        per_task = joins.left_join(left, right, ["k"]).where("r.k = 0").groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in per_task.collect()) < 0.5 * right.where("k = 0").count()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_left_join_equals_the_plain_one(spark, seed, monkeypatch):
+    """Two keys, nulls, ties, hot keys on both sides, keys in one side only."""
+    monkeypatch.setattr(joins.hot_keys, "__defaults__", (2,))
+    chance = random.Random(seed)
+
+    def rows(n):
+        keys = [None, 0, 0, 0, 1, 2, chance.randrange(30)]
+        texts = [None, "", "a", "a", 'q"\\', "b"]
+        return [(chance.choice(keys), chance.choice(texts), chance.randrange(5), {"m": 1}) for _ in range(n)]
+
+    schema = "k int, t string, x int, m map<string,int>"
+    left, right = spark.createDataFrame(rows(60), schema), spark.createDataFrame(rows(150), schema)
+    got = joins.left_join(left, right, ["k", "t"]).select("r.k", "r.t", "r.x", F.col("a.x").alias("y"))
+    both = left.alias("l").join(right.alias("a"), (F.col("l.k") == F.col("a.k")) & (F.col("l.t") == F.col("a.t")), "left")
+    assert joins.hot_keys(right, ["k", "t"]) is not None
+    assert same_rows(got, both.select("l.k", "l.t", "l.x", F.col("a.x").alias("y")))
+    empty = joins.left_join(left, right.limit(0), ["k", "t"])
+    assert empty.count() == 60 and joins.left_join(left.limit(0), right, ["k", "t"]).count() == 0
+    doubles = [d.withColumn("k", F.col("k").cast("double")) for d in (left, right)]
+    assert same_rows(joins.left_join(*doubles, ["k"]).select("r.k", "a.x"), doubles[0].join(doubles[1].select("k", F.col("x").alias("y")), "k", "left").select("k", "y"))

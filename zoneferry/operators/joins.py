@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from zoneferry.functions.columns import name, quoted
 
 HIT = "zf_hit"
+ITEM, SALT, SALTS = "zf_item", "zf_salt", "zf_salts"
+
+#: Rows a key must have before it is split.
+HOT_ROWS = 10_000
+
+#: Types of keys whose text is the same exactly where the keys are equal.
+_EXACT = (
+    T.IntegralType,
+    T.StringType,
+    T.BooleanType,
+    T.DateType,
+    T.DecimalType,
+    T.TimestampNTZType,
+)
 
 
 def require_keys(keys: Sequence[str]) -> None:
@@ -26,20 +41,87 @@ def left_join(
 ) -> DataFrame:
     """``left r LEFT JOIN right a`` on equal keys; columns stay ``r.*`` and ``a.*``.
 
-    AQE cannot split the right side of an outer join. Unless that side is unique
-    by key, the join is therefore made of an inner join, in which AQE splits hot
-    keys of either side, and the left rows without a match, padded with nulls.
-    Both inputs are read twice and must be the same each time. A side said to be
-    unique has one row per key, as after a grouping by it.
+    AQE splits hot keys of the left side but not of the right side of an outer
+    join. Unless that side is unique by key, its hot keys are found by a sketch over
+    its key columns alone; only their rows are dealt by salt, and only the left rows
+    of these keys are repeated, once per salt. A hot key is in the right side, so a
+    repeated row without a partner is one whose partners have other salts, and goes.
+    Rows equal in all columns share a salt. The right side must be the same each
+    time it is read. A side said to be unique has one row per key, as after a
+    grouping by it.
+
+    Where the text of a key does not stand for the key (floating point, instants,
+    sides of different types), the join is made of an inner join, which AQE splits on
+    both sides, and the left rows without a match; both sides are then read twice.
     """
     require_keys(keys)
     if unique_right:
         return _plain_join(left, right, keys, "left", split=not unique_left)
-    matched = _plain_join(left, right, keys, "inner", split=True)
-    missing = anti_join(left, right, keys)
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    padded = missing.select(*[name(c) for c in left.columns], *nulls)
-    return matched.union(padded)
+    if not _exact(left, right, keys):
+        matched = _plain_join(left, right, keys, "inner", split=True)
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+        missing = anti_join(left, right, keys)
+        return matched.union(missing.select(*[name(c) for c in left.columns], *nulls))
+    hot = hot_keys(right, keys)
+    if hot is None:
+        return _plain_join(left, right, keys, "left", split=True)
+    ours = left.withColumn(ITEM, _item(keys)).join(hot, ITEM, "left")
+    every = F.sequence(F.lit(0), F.coalesce(SALTS, F.lit(1)) - 1)
+    ours = ours.withColumn(SALT, F.explode(every)).drop(ITEM)
+    dealt = F.pmod(F.xxhash64(*_hashable(right)), F.coalesce(SALTS, F.lit(1))).cast("int")
+    theirs = right.withColumn(ITEM, _item(keys)).join(hot, ITEM, "left")
+    theirs = theirs.withColumns({SALT: dealt, HIT: F.lit(1)}).drop(ITEM, SALTS)
+    joined = _plain_join(ours, theirs, [*keys, SALT], "left", split=True)
+    met = F.col(f"r.{SALTS}").isNull() | F.col(f"a.{HIT}").isNotNull()
+    return joined.where(met).drop(SALT, SALTS, HIT)
+
+
+def _exact(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether the keys are of types that ``_item`` tells apart, the same on both sides."""
+    kinds = [{f.name.lower(): f.dataType for f in df.schema.fields} for df in (left, right)]
+    pairs = [(kinds[0].get(k.lower()), kinds[1].get(k.lower())) for k in keys]
+    return all(a == b and isinstance(a, _EXACT) for a, b in pairs)
+
+
+def _item(keys: Sequence[str]) -> Column:
+    """All key columns as one text; a null key is left out of it."""
+    return F.to_json(F.struct(*[name(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)]))
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    """The columns without maps, which have no hash."""
+    return [name(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], least: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more rows than a shuffle partition has on average, and salts for them.
+
+    A key of fewer than ``least`` rows is not worth repeating rows for.
+
+    One pass over the key columns keeps a sketch of the most frequent keys, four
+    times as many as there are partitions; its error is below one partition's share, so
+    no hot key is missed. There are fewer hot keys than partitions, which bounds what
+    the driver receives and broadcasts: the key's text ``ITEM``, and ``SALTS``, which
+    deals its rows over as many mean partitions as they fill. None when no key is hot.
+    """
+    conf = df.sparkSession.conf
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    partitions = int(initial or conf.get("spark.sql.shuffle.partitions"))
+    tracked = min(max(4 * partitions, 1024), 1_000_000)
+    known = F.lit(True)
+    for k in keys:
+        known = known & name(k).isNotNull()
+    items = df.where(known).select(_item(keys).alias(ITEM))
+    found = items.agg(
+        F.expr(f"approx_top_k({ITEM}, {min(partitions, tracked)}, {tracked})").alias("top"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+    mean = F.greatest(F.col("rows") / partitions, F.lit(least))
+    top = found.select(mean.alias("mean"), F.inline("top")).where(F.col("count") > F.col("mean"))
+    hot = [(r["item"], math.ceil(r["count"] / r["mean"])) for r in top.collect()]
+    if not hot:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(hot, f"{ITEM} string, {SALTS} int"))
 
 
 def _same_keys(keys: Sequence[str]) -> list[Column]:
