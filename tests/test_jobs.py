@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from zoneferry.operators import quality, writes
 from zoneferry.plans import jobs
 from zoneferry.plans.scratch import scratch
 from zoneferry.sources import files
@@ -82,3 +84,32 @@ def test_rebuild_zone_keeps_every_row(spark, s, due):
         assert spark.table(table).count() == 2
     done = {"k < 2": {1}, "true": {1, 2}, "false": set()}[due]
     assert {r.k for r in spark.table(table).where("v = 'done'").collect()} == done
+
+
+def test_upsert_zone_exports_deletes_and_appends(spark):
+    with scratch(spark, "upsert") as s:
+        plain = s.sink("plain", "k int, v string")
+        by_v = s.sink("by_v", "k int, v string", "v")
+        for table in (plain, by_v):
+            writes.append(spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string"), table)
+        sql = "SELECT * FROM VALUES (2, 'new'), (3, 'c') AS t(k, v)"
+        with pytest.raises(ValueError):
+            jobs.upsert_zone(spark, sql, plain, ["k"])
+        twice = f"{sql} UNION ALL {sql}"
+        with pytest.raises(quality.DuplicateKeys):
+            jobs.upsert_zone(spark, twice, plain, ["k"], base=s.path("versions"), run_id="r0")
+        for run in ("r1", "r2"):
+            assert jobs.upsert_zone(spark, sql, plain, ["k"], keys_path=s.path(run), base=s.path("versions"), run_id=run) == 2
+        found = sorted(map(tuple, spark.table(plain).collect()), key=repr)
+        assert found == sorted([(1, "a"), (2, "new"), (3, "c"), (None, "n")], key=repr)
+        assert {r.k for r in spark.read.parquet(s.path("r1")).collect()} == {2, 3}
+        jobs.upsert_zone(spark, "SELECT 2 AS k, 'b' AS v", by_v, ["k", "v"])
+        assert spark.table(by_v).count() == 3
+
+
+def test_drill_rule_records_the_keys_that_differ(spark):
+    spark.range(100).withColumn("v", F.col("id") % 3).createOrReplaceTempView("drill_raw")
+    job = jobs.ReconJob("daily", "sales", "2024-01-31 06:00:00", "r1")
+    rule = job.drill_rule("rows", "SELECT * FROM drill_raw", "SELECT id, IF(id = 7, -1, v) AS v FROM drill_raw WHERE id <> 9", ["id"], ["v"])
+    found = {(r.f1_name, r.f1_value, r.f2_value, r.f5_value) for r in rule.build(spark).collect()}
+    assert found == {("id", '{"id":7}', "changed", "v"), ("id", '{"id":9}', "missing", "")}

@@ -91,3 +91,14 @@ def test_upsert_property(spark, old, new):
     assert rows(once) == sorted(expected, key=repr)
     if all(k is not None for k, _ in new):
         assert rows(keyed.upsert(once, change, ["k"])) == rows(once)
+
+
+def test_change_classes(spark):
+    schema = "k int, v string, m map<string,int>, p int"
+    current = spark.createDataFrame([(1, "a", {"x": 1}, 5), (2, "b", None, 5), (3, "c", {}, 6), (None, "n", None, 6)], schema)
+    state = spark.createDataFrame([(1, "a", {"x": 1}, 5), (2, "b", {"y": 1}, 5), (None, "n", None, 7), (9, None, None, 5)], schema)
+    found = keyed.change_classes(current, state, ["k"], ["p"])
+    got = {(r.k, r["class"], r.before and r.before.p, r.after and r.after.p) for r in found.collect()}
+    assert got == {(1, "same", 5, 5), (2, "changed", 5, 5), (3, "gone", 6, None), (None, "changed", 6, 7), (9, "new", None, 5)}
+    assert {r["class"] for r in keyed.change_classes(current, current.limit(0), ["k"]).collect()} == {"gone"}
+    assert {r["class"] for r in keyed.change_classes(current.limit(0), state, ["k"]).collect()} == {"new"}

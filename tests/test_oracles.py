@@ -14,6 +14,21 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# Beyond SQL, or too slow in it on whole tables: tests/llm holds these against plain versions.
+WITHOUT_SQL = {
+    "op1_minhash_neardup",
+    "op2_line_dedup",
+    "op3_secret_scan",
+    "op4_decontamination",
+    "op6_quality_rules",
+    "op7_packing",
+    "op9_html_extraction",
+    "op10_token_counts",
+    "op12_periodic_runs",
+    "op13_toxicity",
+    "pipeline",
+}
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -40,10 +55,12 @@ def sorted_rows(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    queries = set(contract.queries())
+    assert queries - set(contract.oracle_sql()) == WITHOUT_SQL & queries
+    assert set(contract.oracle_sql()) <= queries
 
 
-@pytest.mark.parametrize("query", sorted(contract.queries()))
+@pytest.mark.parametrize("query", sorted(contract.oracle_sql()))
 def test_same_as_duckdb(spark, duck, query):
     df = contract.queries()[query](spark, SF_DIR)
     result = duck.execute(contract.oracle_sql()[query])

@@ -234,3 +234,30 @@ def test_upsert_partitions_scans_only_the_touched(spark, s):
         read = writes._in_partitions(spark.table(table), listed, ["day"])
         assert sorted(r.k for r in read.collect()) == [2, 4]
         assert "dynamicpruning" in read._jdf.queryExecution().executedPlan().toString()
+
+
+def files_of(spark, table):
+    return {f.split("/by_day/")[-1] for f in spark.table(table).inputFiles()}
+
+
+def test_sync_rewrites_only_partitions_with_a_change(spark, s):
+    """Rows come, go, change and move; the null partition and a text one empty out."""
+    table = s.sink("by_day", f"{COLUMNS}, day string", "day")
+    schema = f"{COLUMNS}, day string"
+    old = [(1, "a", "x"), (2, "b", "x"), (3, "c", "y"), (4, "d", "z'q"), (5, "e", None), (6, "f", "w")]
+    writes.overwrite_partitions(frame(spark, old, schema), table)
+    before = files_of(spark, table)
+    new = [(1, "a", "x"), (2, "B", "x"), (3, "c", "y"), (4, "d", "x"), (6, "f", "w"), (7, "g", "v")]
+    counts = writes.sync_partitions(frame(spark, new, schema), table, ["k"])
+    assert counts == {"new": 1, "changed": 2, "same": 3, "gone": 1}
+    assert rows(spark.table(table)) == sorted(new, key=repr) == rows(s.rows("by_day"))
+    after = files_of(spark, table)
+    assert {f for f in before if f.startswith(("day=y", "day=w"))} <= after
+    assert not {f for f in before if f.startswith("day=x")} & after
+    assert {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()} == {"day=x", "day=y", "day=w", "day=v"}
+    again = writes.sync_partitions(frame(spark, new, schema), table, ["k"])
+    assert again == {"new": 0, "changed": 0, "same": 6, "gone": 0} and files_of(spark, table) == after
+    assert writes.sync_partitions(frame(spark, [], schema), table, ["k"])["gone"] == 6
+    assert spark.table(table).count() == 0
+    with pytest.raises(ValueError):
+        writes.sync_partitions(frame(spark, []), s.sink("plain", COLUMNS), ["k"])

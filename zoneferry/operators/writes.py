@@ -10,8 +10,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from zoneferry.functions.columns import name, quoted
+from zoneferry.operators import keyed
 from zoneferry.operators.joins import anti_join
-from zoneferry.session import setting, staged
+from zoneferry.session import delete_path, setting, staged
 from zoneferry.sources.catalog import run_sql
 from zoneferry.sources.files import conform
 
@@ -181,6 +182,65 @@ def _in_partitions(df: DataFrame, touched: DataFrame, columns: Sequence[str]) ->
     return plain.select(*[name(c) for c in df.columns]).unionByName(nulls)
 
 
+def sync_partitions(state: DataFrame, table: str, on: Sequence[str]) -> dict[str, int]:
+    """Bring a partitioned table to a new state; only partitions with a change are rewritten.
+
+    One full outer join of keys and row fingerprints tells new, changed, same and gone
+    rows. A changed row may move to another partition: both are rewritten.
+    Partitions that no row is left in are dropped. Key and state have one row per key.
+    Returns the number of rows of each class.
+    """
+    spark = state.sparkSession
+    columns = partition_columns(spark, table)
+    if not columns:
+        raise ValueError(f"{table} has no partitions")
+    stored = _conformed(state, table)
+    for c in columns:
+        stored = stored.withColumn(c, _stored_value(stored, c))
+    with staged(stored, "state") as new:
+        both = keyed.change_classes(spark.table(table), new, on, columns)
+        pruned = both.groupBy("class", "before", "after").agg(F.count(F.lit(1)).alias(ROWS))
+        with staged(pruned, "classes") as classes:
+            counts = {r["class"]: r[ROWS] for r in classes.groupBy("class").agg(F.sum(ROWS).alias(ROWS)).collect()}
+            moved = classes.where(F.col("class") != keyed.SAME)
+            values = [F.col(f"side.{quoted(c)}") for c in columns]
+            ends = moved.select("before", "after", F.explode(F.array("before", "after")).alias("side"))
+            listed = ends.where(F.col("side").isNotNull()).groupBy(*values).agg(F.count(F.lit(1)).alias(ROWS))
+            with staged(listed, "touched") as touched:
+                if not touched.isEmpty():
+                    overwrite_partitions(_in_partitions(new, touched, columns), table)
+                _drop_partitions(spark, table, _emptied(classes, columns), columns)
+    return {kind: counts.get(kind, 0) for kind in (keyed.NEW, keyed.CHANGED, keyed.SAME, keyed.GONE)}
+
+
+def _emptied(classes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The partitions that rows left and that no row of the new state is in."""
+    old, new = (F.struct(F.lit(now).alias("now"), F.col(c).alias("at")) for now, c in ((False, "before"), (True, "after")))
+    sides = F.explode(F.array(old, new))
+    ends = classes.select(sides.alias("end")).where(F.col("end.at").isNotNull())
+    values = [F.col(f"end.at.{quoted(c)}") for c in columns]
+    return ends.groupBy(*values).agg(F.max("end.now").alias("now")).where(~F.col("now")).drop("now")
+
+
+def _drop_partitions(spark: SparkSession, table: str, gone: DataFrame, columns: Sequence[str]) -> None:
+    """Drop partitions from the catalog and their directories."""
+    kinds = {f.name: f.dataType for f in gone.schema.fields}
+    for row in gone.collect():
+        spec = ", ".join(
+            f"{quoted(c)} = {'null' if row[c] is None else _partition_literal(row[c], kinds[c])}" for c in columns
+        )
+        path = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(table)} PARTITION ({spec})")
+        path = path.where("col_name = 'Location'").first()["data_type"]
+        spark.sql(f"ALTER TABLE {table_name(table)} DROP IF EXISTS PARTITION ({spec})")
+        delete_path(spark, path)
+
+
+def _partition_literal(value: Any, kind: T.DataType) -> str:
+    if isinstance(kind, T.StringType):
+        return _text(value)
+    return _text(str(value)) if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else str(value)
+
+
 def replace_table(df: DataFrame, table: str, base: str, run_id: str) -> str:
     """Write the new content to ``base/run_id`` and make it the table.
 

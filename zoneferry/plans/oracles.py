@@ -105,6 +105,46 @@ ORACLES: dict[str, str] = {
             longest_text("documents", "lang", 1),
         ]
     ),
+    "recon_drill_down": """
+        WITH access AS (
+            SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 194 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+                   CASE WHEN o_orderkey % 97 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+                   o_orderdate, o_orderpriority
+            FROM orders WHERE o_orderkey % 89 <> 0
+            UNION ALL
+            SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+            FROM orders WHERE o_orderkey % 101 = 0)
+        SELECT coalesce(r.o_orderkey, a.o_orderkey) AS o_orderkey,
+               CASE WHEN a.o_orderkey IS NULL THEN 'missing' WHEN r.o_orderkey IS NULL THEN 'extra' ELSE 'changed' END AS status,
+               CAST(r.o_orderkey IS NOT NULL AS BIGINT) AS raw_rows, CAST(a.o_orderkey IS NOT NULL AS BIGINT) AS access_rows,
+               CASE WHEN r.o_orderkey IS NULL OR a.o_orderkey IS NULL THEN '' ELSE concat_ws(',',
+                   CASE WHEN r.o_orderstatus <> a.o_orderstatus THEN 'o_orderstatus' END,
+                   CASE WHEN r.o_totalprice <> a.o_totalprice THEN 'o_totalprice' END) END AS columns
+        FROM orders r FULL JOIN access a ON r.o_orderkey = a.o_orderkey
+        WHERE r.o_orderkey IS NULL OR a.o_orderkey IS NULL
+           OR r.o_orderstatus <> a.o_orderstatus OR r.o_totalprice <> a.o_totalprice""",
+    "sync_changed_partitions": """
+        WITH before AS (SELECT *, year(o_orderdate) AS y FROM orders),
+        after AS (
+            SELECT CASE WHEN o_orderkey % 50 = 0 AND y = 1997 THEN -o_orderkey ELSE o_orderkey END AS k, o_orderkey,
+                   CASE WHEN y = 1996 AND o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS s, o_orderstatus, y,
+                   CASE WHEN o_orderkey % 1000 = 1 AND y = 1996 THEN 1995 ELSE y END AS part
+            FROM before WHERE y <> 1993),
+        counts AS (
+            SELECT count(*) FILTER (WHERE k <> o_orderkey) AS added,
+                   count(*) FILTER (WHERE k = o_orderkey AND (s <> o_orderstatus OR part <> y)) AS changed,
+                   count(*) FILTER (WHERE k = o_orderkey AND s = o_orderstatus AND part = y) AS same FROM after)
+        SELECT 'year ' || part AS part, count(*) AS n_rows, CAST(sum(k) AS BIGINT) AS keys FROM after GROUP BY 1
+        UNION ALL SELECT 'new', added, 0 FROM counts
+        UNION ALL SELECT 'changed', changed, 0 FROM counts
+        UNION ALL SELECT 'same', same, 0 FROM counts
+        UNION ALL SELECT 'gone', (SELECT count(*) FROM before) - changed - same, 0 FROM counts""",
+    "upsert_zone_job": f"""
+        SELECT {ORDERS}, false AS exported FROM orders WHERE o_orderstatus <> 'P'
+        UNION ALL SELECT o_orderkey, o_custkey, 'U', o_totalprice, o_orderdate, o_orderpriority, true
+        FROM orders WHERE o_orderstatus = 'P'
+        UNION ALL SELECT -o_orderkey, o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority, true
+        FROM orders WHERE o_orderkey % 100 = 3""",
     "recon_left_join": LEFT_JOIN,
     "recon_json": LEFT_JOIN,
     "recon_left_join_rows": record(
@@ -205,6 +245,17 @@ ORACLES: dict[str, str] = {
                max(o_orderdate) AS max_ts
         FROM orders GROUP BY year(o_orderdate)""",
     "jdbc_append_roundtrip": "SELECT * FROM customer",
+    "declared_lengths": " UNION ALL ".join(
+        [
+            longest_digits("customer", "c_custkey", 0, 2),
+            longest_text("customer", "c_name", 40),
+            longest_digits("customer", "c_acctbal", 2, 6),
+            longest_text("customer", "c_mktsegment", 8),
+        ]
+    ),
+    "jdbc_large_objects": """
+        SELECT doc_id, CASE WHEN lang = 'en' THEN upper(substr(text, 1, 50)) ELSE text END AS text, lang
+        FROM documents""",
     "jdbc_query_scan": record(
         "customer_counts",
         "(SELECT count(*) AS n, count(*) FILTER (WHERE c_acctbal > 0) AS m FROM customer)",

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from zoneferry.operators import keyed, mapping, quality, recon, reports, writes
+from zoneferry.operators import drilldown, keyed, mapping, quality, recon, reports, writes
 from zoneferry.operators.quality import Limit
 from zoneferry.plans import jobs
 from zoneferry.plans.scratch import scratch
@@ -327,6 +327,25 @@ def recon_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         return parsed.select("record.*")
 
 
+def drifted(orders: DataFrame) -> DataFrame:
+    """A curated copy that has drifted: rows missing, changed, and added."""
+    price = F.when(F.col("o_orderkey") % 97 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    status = F.when(F.col("o_orderkey") % 194 == 0, F.lit("X")).otherwise(F.col("o_orderstatus"))
+    kept = orders.where("o_orderkey % 89 <> 0").withColumns({"o_totalprice": price, "o_orderstatus": status})
+    added = orders.where("o_orderkey % 101 = 0").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    return kept.unionByName(added)
+
+
+@registered
+def recon_drill_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    compared = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    found = drilldown.drill_down(
+        drilldown.Zone(orders), drilldown.Zone(drifted(orders)), ["o_orderkey"], compared
+    )
+    return found.withColumn("columns", F.array_join("columns", ","))
+
+
 # --- keyed changes -----------------------------------------------------------
 
 
@@ -405,6 +424,55 @@ def rebuild_changed_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.read.schema(ORDER_COLUMNS).parquet(path)
 
 
+@registered
+def sync_changed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that change, move to another year, come and go; then the table and the counts."""
+    orders = orders_by_year(table(spark, sf_dir, "orders"))
+    with scratch(spark, "sync") as s:
+        by_year = s.sink("by_year", f"{ORDER_COLUMNS}, o_year int", "o_year")
+        writes.overwrite_partitions(orders, by_year)
+        counts = jobs.sync_zone(
+            spark,
+            """SELECT CASE WHEN o_orderkey % 50 = 0 AND o_year = 1997 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey,
+                      o_custkey, CASE WHEN o_year = 1996 AND o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+                      o_totalprice, o_orderdate, o_orderpriority,
+                      CASE WHEN o_orderkey % 1000 = 1 AND o_year = 1996 THEN 1995 ELSE o_year END AS o_year
+               FROM {db}.by_year WHERE o_year <> 1993""",
+            by_year,
+            ["o_orderkey"],
+            jobs.Binding({"db": s.db}),
+        )
+        found = s.rows("by_year").groupBy(F.concat(F.lit("year "), "o_year").alias("part"))
+        found = found.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("keys"))
+        listed = spark.createDataFrame([(k, n, 0) for k, n in counts.items()], found.schema)
+        return found.unionByName(listed)
+
+
+@registered
+def upsert_zone_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changed rows mapped, their keys exported, deleted and appended in one job."""
+    with scratch(spark, "upsert") as s:
+        s.source(sf_dir, "orders")
+        curated = s.sink("curated", ORDER_COLUMNS)
+        writes.append(spark.table(f"{s.db}.orders"), curated)
+        jobs.upsert_zone(
+            spark,
+            """SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+               FROM {db}.orders WHERE o_orderstatus = 'P'
+               UNION ALL SELECT -o_orderkey, o_custkey, 'N', o_totalprice, o_orderdate, o_orderpriority
+               FROM {db}.orders WHERE o_orderkey % 100 = 3""",
+            curated,
+            ["o_orderkey"],
+            keys_path=s.path("keys"),
+            base=s.path("versions"),
+            run_id=RUN_ID,
+            binding=jobs.Binding({"db": s.db}),
+        )
+        keys = files.read_keys(spark, s.path("keys"), ["o_orderkey"]).withColumn("exported", F.lit(True))
+        state = spark.read.schema(ORDER_COLUMNS).parquet(f"{s.path('versions')}/{RUN_ID}")
+        return state.join(keys, "o_orderkey", "left").withColumn("exported", F.coalesce("exported", F.lit(False)))
+
+
 # --- tables ------------------------------------------------------------------
 
 
@@ -645,6 +713,36 @@ def jdbc_serving_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def declared_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers held against the limits that the serving database declares."""
+    db = serving_database(spark)
+    created = f"ZF_LIMITS_{uuid.uuid4().hex[:12].upper()}"
+    jdbc.execute(
+        spark,
+        db,
+        [
+            f'CREATE TABLE {created} ("c_custkey" DECIMAL(2,0), "c_name" VARCHAR(40), "c_nationkey" INT, '
+            '"c_acctbal" DECIMAL(6,2), "c_mktsegment" VARCHAR(8))'
+        ],
+    )
+    limits = jdbc.declared_columns(spark, db, created)
+    return quality.declared_validation(table(spark, sf_dir, "customer"), limits)
+
+
+@registered
+def jdbc_large_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, in a column type that the database cannot compare, and keys replaced."""
+    db = serving_database(spark)
+    created = f"zf_customer_{uuid.uuid4().hex[:12]}"
+    jdbc.execute(spark, db, [f'CREATE TABLE {created} ("doc_id" BIGINT, "text" CLOB, "lang" VARCHAR(10))'])
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    jdbc.append(docs, db, created)
+    rows = docs.where("lang = 'en'").withColumn("text", F.upper(F.substring("text", 1, 50)))
+    jdbc.upsert(rows, rows.select("doc_id"), db, created)
+    return jdbc.scan(spark, db, f"SELECT * FROM {created}", split_on='"doc_id"')
+
+
 # --- files -------------------------------------------------------------------
 
 
