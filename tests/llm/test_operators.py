@@ -77,7 +77,45 @@ def test_near_duplicates(docs):
     assert ordered(map(tuple, neardup.near_duplicates(docs).collect())) == ordered(expected)
     kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns
-    assert kept.count() == len({e[0] for e in expected if e[3]})
+    wordless = sum(not x for _, x in sets)
+    assert kept.count() == wordless + len({find(a) for a, (_, x) in enumerate(sets) if x})
+
+
+CLASHES = ["_id", "_own", "_kept", "_th", "id", "th", "row", "node", "label", "dropped", "first"]
+
+
+def unrelated(spark):
+    """Seven texts without anything in common: five null ids, and one id twice; clashing columns."""
+    rows = [(None if i < 5 else 7, prose(100 + i, 60) + f"\nline {i} of its own\nline {i} of its own", *[i] * len(CLASHES)) for i in range(7)]
+    return spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} int" for c in CLASHES))
+
+
+def test_no_document_is_lost_for_its_id_or_column_names(spark):
+    docs = unrelated(spark)
+    assert ordered(map(tuple, neardup.keep_one(docs).collect())) == ordered(map(tuple, docs.collect()))
+    twice = docs.union(docs)
+    assert ordered(map(tuple, neardup.keep_one(twice).collect())) == ordered(map(tuple, docs.collect()))
+    thinned = lines.drop_lines(docs)
+    assert thinned.columns == docs.columns and thinned.count() == 7
+    own = {r.node: r for r in docs.collect()}
+    for r in thinned.collect():
+        assert tuple(r)[2:] == tuple(own[r.node])[2:] and r.text == own[r.node].text.rpartition("\n")[0]
+
+
+def test_copies_of_one_text_meet_it_first(spark):
+    """Texts that are linked with one text only: its buckets have it as leader."""
+    chance = random.Random(8)
+    base = [f"w{chance.randrange(10**6)}" for _ in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 150):
+        own = list(base)
+        for k in chance.sample(range(200), 4):
+            own[k] = f"x{i}-{k}"
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sketches = neardup._sketches(docs.withColumn("th", F.lit(None).cast("binary")))
+    assert sketches.count() == 150
+    assert {r.component_id for r in neardup.near_duplicates(docs).collect()} == {0}
 
 
 def test_near_duplicates_in_a_chain_whose_ends_are_not_linked(spark):

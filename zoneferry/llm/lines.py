@@ -138,11 +138,13 @@ def report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
 
 
 def drop_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """The documents without the dropped lines; all other columns stay."""
-    gone = stage(dropped_lines(docs, edits), "line-dropped").toDF("_id", "_th", "_dropped")
-    own = docs.withColumn("_own_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)))
-    own = own.withColumn("_own_th", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = own.join(gone, (F.col("_own_id") == F.col("_id")) & (F.col("_own_th") == F.col("_th")), "left")
-    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(F.col("_dropped"), i))
-    text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents without the dropped lines; all other columns stay, whatever their names."""
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"),
+    )
+    joined = own.join(stage(dropped_lines(docs, edits), "line-dropped"), ["id", "th"], "left")
+    kept = F.filter(F.split("row.text", "\n"), lambda _, i: ~F.array_contains(F.col("dropped"), i))
+    text = F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
+    return joined.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

@@ -9,14 +9,17 @@ and the smallest document id that links lead to names the component.
 2. A class has 160 registers: truncated minima of exponential variables on an
    exponential scale of base 1.001 (SetSketch). Forty bands of four registers
    make its buckets; a pair at 0.75 shares none with probability 3e-7.
-3. In every bucket all classes are held against the smallest one (a star, not
-   all pairs). Register comparisons and set sizes give the maximum-likelihood
+3. In every bucket all classes are held against its leader (a star, not all pairs): the
+   class that meets most others over all its buckets, as the text that others are
+   copied from does. Register comparisons and set sizes give the maximum-likelihood
    similarity; pairs far below the threshold go. The rest are verified on full
-   sets, and verified links join classes to components.
-4. Classes of buckets that still hold several components are searched exactly
-   across components by their rarest shingles, so that a link between two classes
-   neither of which is linked with the smallest is found as well. Two documents
-   already in one component need no further look.
+   sets, and verified links join classes to components. Buckets that still hold several
+   components get their next leader, ``LEADERS`` times in all.
+4. Classes of buckets that are open after that are searched exactly across components
+   by their rarest shingles, so that a link between two classes neither of which is linked
+   with a leader is found as well. Two documents already in one component need no
+   further look. Only here may pairs outgrow the number of classes: among many texts
+   that share their rare shingles but are linked with no leader.
 
 Copies and tight groups cost a row per document and bucket. Nothing but counts
 reaches the driver. Component labels are written to the shared folder at each step.
@@ -40,7 +43,11 @@ from zoneferry.session import stage
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 BANDS, ROWS = 40, 4
+#: Leaders a bucket has, one after the other, before the exact search.
+LEADERS = 3
 REGISTERS = BANDS * ROWS
+#: Stands for a null id where the smallest id is looked for.
+LAST = (1 << 63) - 1
 BASE, RATE, LIMIT = 1.001, 20.0, 65535
 #: Pairs whose likelihood puts them this far below the threshold are not verified
 #: (about six standard errors of 160 registers).
@@ -99,7 +106,7 @@ def likeliest(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return (low + high) / 2
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64())), ("regs", pa.binary())])
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("th", pa.binary()), ("n", pa.int64()), ("node", pa.int64()), ("bands", pa.list_(pa.int64())), ("regs", pa.binary())])
 
 
 def _node(shingled: np.ndarray) -> int:
@@ -113,6 +120,7 @@ def _sketched(batch: pa.RecordBatch) -> pa.RecordBatch:
         _SKETCH,
         [
             batch.column("doc_id"),
+            batch.column("th"),
             [len(s) for s in sets],
             [_node(s) if len(s) else None for s in sets],
             [band_keys(r).tolist() if r is not None else None for r in regs],
@@ -251,23 +259,57 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return out.withColumn("label", F.coalesce("label", "node"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept."""
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
-    sketches = stage(map_slices(docs, _sketched, "doc_id bigint, n bigint, node bigint, bands array<bigint>, regs binary"), "near-sketches")
+def _led(members: DataFrame, classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and component labels found by holding buckets' members against their leaders.
+
+    A round's pairs are at most as many as there are members. A member leads its bucket
+    once; pairs held against each other before are not again.
+    """
+    spark = members.sparkSession
+    links, tested = (spark.createDataFrame([], "a bigint, b bigint") for _ in range(2))
+    labels = spark.createDataFrame([], "node bigint, label bigint")
+    waiting = members
+    for _ in range(LEADERS):
+        rows = _labelled(waiting, labels)
+        lead = rows.groupBy("slot").agg(
+            F.max(F.struct("degree", "node", "label")).alias("lead"), F.min("label").alias("x"), F.max("label").alias("y")
+        )
+        lead = lead.where("x < y").select("slot", F.col("lead.node").alias("leader"), F.col("lead.label").alias("led"))
+        waiting = stage(waiting.join(lead, "slot").where("node != leader").select("slot", "node", "degree", "leader", "led"), "near-waiting")
+        ends = F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
+        pairs = _labelled(waiting, labels).where("label != led").select(*ends).distinct()
+        likely = _likely_pairs(pairs.join(tested, ["a", "b"], "left_anti"), classes)
+        if likely.isEmpty():
+            break
+        nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        found = _linked(likely, _texts_of(nodes, classes, docs))
+        waiting, tested = waiting.select("slot", "node", "degree"), tested.union(likely)
+        if not found.isEmpty():
+            links = links.union(found)
+            labels = components(links)
+    return links, labels
+
+
+def _sketches(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, n, node, bands, regs) of documents (doc_id, th, text), staged."""
+    schema = "doc_id bigint, th binary, n bigint, node bigint, bands array<bigint>, regs binary"
+    return stage(map_slices(docs, _sketched, schema), "near-sketches")
+
+
+def _with_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, n, label, component_id) per document (doc_id, th, text); no label without a set."""
+    sketches = _sketches(docs)
     grouped = sketches.where("node is not null").groupBy("node")
     classes = stage(
         grouped.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("regs").alias("regs")),
         "near-classes",
     )
     slots = classes.select(F.explode("bands").alias("slot"), "node")
-    shared = slots.groupBy("slot").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    members = stage(slots.join(shared.select("slot", "least"), "slot"), "near-members")
-    stars = members.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    likely = _likely_pairs(stars, classes)
-    nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    links = _linked(likely, _texts_of(nodes, classes, docs))
-    labels = components(links)
+    shared = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    met = stage(slots.join(shared, "slot"), "near-met")
+    degrees = met.groupBy("node").agg(F.sum(F.col("size") - 1).alias("degree"))
+    members = stage(met.select("slot", "node").join(degrees, "node"), "near-members")
+    links, labels = _led(members, classes, docs)
 
     left = _labelled(members.select("slot", "node"), labels)
     open_ = left.groupBy("slot").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("slot")
@@ -280,21 +322,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     named = _labelled(classes.select("node", "rep"), labels)
     names = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    named = named.join(names, "label").select("node", "component_id")
-    out = sketches.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
+    named = named.join(names, "label").select("node", "label", "component_id")
+    out = sketches.select("doc_id", "th", "n", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    return out.select("doc_id", "th", "n", "label", component.alias("component_id"))
+
+
+def _digest(text: str) -> Column:
+    return F.unhex(F.md5(F.col(text)))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, kept."""
+    docs = docs.select(F.col("doc_id").cast("bigint"), "text", F.lit(None).cast("binary").alias("th"))
+    found = _with_components(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of every component, with all its columns.
+    """One document of every component, with all its columns, whatever their names.
 
-    Of repeated rows with one id, one stays, whichever Spark meets first.
+    The one of the smallest id stays, null ids last; of rows with one id, that of the
+    smallest digest of its text; of rows equal in both, any one. Texts without words are
+    components of their own, so all of them stay.
     """
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = stage(kept.withColumn("_kept", F.coalesce(F.col("_kept_id").cast("string"), F.lit("none"))).select("_kept"), "near-kept")
-    own = docs.withColumn("_own", F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("none")))
-    found = own.join(kept, F.col("_own") == F.col("_kept"), "left_semi").dropDuplicates(["_own"])
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("id"),
+        _digest("text").alias("th"),
+        "text",
+    )
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    found = _with_components(own.where(worded).select(F.col("row.doc_id").cast("bigint").alias("doc_id"), "text", "th"))
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("id"), "th")).alias("first")
+    kept = stage(found.groupBy("label").agg(first).select("first.id", "first.th"), "near-kept")
+    rows = own.where(worded).join(kept, ["id", "th"], "left_semi").dropDuplicates(["id", "th"])
+    return rows.select("row").unionByName(own.where(~worded).select("row")).select("row.*")

@@ -10,8 +10,9 @@ document); every word of the later one goes.
    (winnowing), so equal windows have equal anchors at equal places. Anchors that
    occur once in the corpus seed nothing.
 3. Extension: around each repeated anchor, every window it anchors, to both sides,
-   is compared by fingerprint with those of the equal anchors; all but the first
-   are marked. Marks of neighbouring anchors join to maximal repeats.
+   is compared with those of the equal anchors by a fingerprint of 128 bits, as a
+   digest of its words; all but the first are marked. Marks of neighbouring anchors join
+   to maximal repeats.
 
 An anchor's rows meet in one task only up to ``GROUP`` of them; those of a more
 frequent one are dealt over several tasks, whose first windows are then compared.
@@ -39,8 +40,10 @@ GROUP = 20_000
 NULL_ID = -(1 << 63)
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def _hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The two halves of a 128-bit hash of every word."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
 
 
 def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,13 +59,13 @@ def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return seeds, chosen
 
 
-_ANCHORS = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("h", pa.list_(pa.int64())), ("pos", pa.list_(pa.int32()))])
+_ANCHORS = pa.schema([("id", pa.int64()), ("th", pa.binary()), ("h", pa.list_(pa.int64())), ("pos", pa.list_(pa.int32()))])
 
 
 def _anchor_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
     hs, ps = [], []
     for text in batch.column("text").to_pylist():
-        seeds, chosen = anchors(_hashes(text.encode().split()), WORDS)
+        seeds, chosen = anchors(_hashes(text.encode().split())[0], WORDS)
         pos = np.unique(chosen)
         hs.append(seeds[pos].view(np.int64))
         ps.append(pos.astype(np.int32))
@@ -72,20 +75,28 @@ def _anchor_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 _WINDOWS = pa.schema(
-    [("h", pa.int64()), ("n", pa.int64()), ("id", pa.int64()), ("th", pa.int64()), ("first", pa.int32()), ("wins", pa.list_(pa.int32()))]
+    [
+        ("h", pa.int64()),
+        ("n", pa.int64()),
+        ("id", pa.int64()),
+        ("th", pa.binary()),
+        ("first", pa.int32()),
+        ("wins", pa.list_(pa.int64())),
+        ("wins_2", pa.list_(pa.int64())),
+    ]
 )
 
 
 def _window_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    out: list[list] = [[], [], [], [], [], []]
+    out: list[list] = [[], [], [], [], [], [], []]
     for text, marks, id_, th in zip(*(batch.column(c).to_pylist() for c in ("text", "marks", "id", "th"))):
-        hashes = _hashes(text.encode().split())
+        hashes, more = _hashes(text.encode().split())
         seeds, chosen = anchors(hashes, WORDS)
-        wins = (rolling(hashes, WORDS, 13) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        wins, wins_2 = rolling(hashes, WORDS, 13).view(np.int64), rolling(more, WORDS, 19).view(np.int64)
         for pos, n in {(m["pos"], m["n"]) for m in marks}:
             a, b = np.searchsorted(chosen, [pos, pos + 1])
             if b > a:
-                for column, value in zip(out, (seeds[pos : pos + 1].view(np.int64)[0], n, id_, th, a, wins[a:b])):
+                for column, value in zip(out, (seeds[pos : pos + 1].view(np.int64)[0], n, id_, th, a, wins[a:b], wins_2[a:b])):
                     column.append(value)
     return batch_of(_WINDOWS, out)
 
@@ -120,13 +131,13 @@ def _kept_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_text (kept words, one space between)."""
     docs = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), F.xxhash64("text", F.crc32(F.col("text").cast("binary"))).alias("th"), "text")
+    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), F.unhex(F.md5("text")).alias("th"), "text")
 
     same = docs.select("id", "th").groupBy("th").agg(F.min("id").alias("rep"), F.count("*").alias("rows")).where("rows > 1")
     same = stage(same.select("th", "rep"), "repeat-copies")
     copies = docs.select("id", "th").join(same, "th").where("id > rep")
 
-    found = stage(map_slices(docs.select("id", "th", "text"), _anchor_rows, "id bigint, th bigint, h array<bigint>, pos array<int>"), "repeat-anchors")
+    found = stage(map_slices(docs.select("id", "th", "text"), _anchor_rows, "id bigint, th binary, h array<bigint>, pos array<int>"), "repeat-anchors")
     first_texts = found.join(same, "th", "left").where("rep is null or id = rep")
     seeds = first_texts.select("id", F.explode(F.arrays_zip("h", "pos")).alias("s")).select("id", "s.h", "s.pos")
     often = seeds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
@@ -135,11 +146,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     sources = docs.select("id", "th", "text").join(stage(marks, "repeat-marks"), "id")
     copied = stage(copies.distinct(), "repeat-copied")
     sources = sources.join(copied.select("id", "th"), ["id", "th"], "left_anti")
-    windows = map_slices(sources, _window_rows, "h bigint, n bigint, id bigint, th bigint, first int, wins array<int>")
+    windows = map_slices(sources, _window_rows, "h bigint, n bigint, id bigint, th binary, first int, wins array<bigint>, wins_2 array<bigint>")
 
     salt = F.pmod(F.hash("id"), F.ceil(F.col("n") / GROUP).cast("int"))
     dealt = windows.withColumn("salt", salt).repartition("h", "salt")
-    each = dealt.select("h", "n", "salt", "id", "th", "first", F.posexplode("wins").alias("at", "win"))
+    each = dealt.select("h", "n", "salt", "id", "th", "first", F.posexplode(F.arrays_zip("wins", "wins_2")).alias("at", "win"))
     each = each.withColumn("start", F.struct("id", (F.col("first") + F.col("at")).alias("place")))
     each = each.withColumn("least", F.min("start").over(Window.partitionBy("h", "salt", "win")))
     bit = F.expr("shiftleft(1, at)")
