@@ -86,7 +86,7 @@ CLASHES = ["_id", "_own", "_kept", "_th", "id", "th", "row", "node", "label", "d
 
 def unrelated(spark):
     """Seven texts without anything in common: five null ids, and one id twice; clashing columns."""
-    rows = [(None if i < 5 else 7, prose(100 + i, 60) + f"\nline {i} of its own\nline {i} of its own", *[i] * len(CLASHES)) for i in range(7)]
+    rows = [(None if i < 5 else 7, "\n".join([prose(100 + i, 60), *[prose(200 + i, 8)] * 2]), *[i] * len(CLASHES)) for i in range(7)]
     return spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} int" for c in CLASHES))
 
 

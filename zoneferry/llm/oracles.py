@@ -76,4 +76,88 @@ def _merkle() -> str:
         FROM {paths} p JOIN {below} n ON n.tree = p.tree"""
 
 
-ORACLES: dict[str, str] = {"op11_merkle_manifest": _merkle()}
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text: str, table: str = "documents", key: str = "doc_id", word: str = r"[^\x20\x09-\x0D]+") -> str:
+    """One row per word, numbered from 1, with the number of words; texts without any have none."""
+    return f"""lists AS (SELECT {key}, regexp_extract_all(coalesce({text}, ''), '{word}') AS words FROM {table}),
+        words AS (SELECT {key}, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM lists)"""
+
+
+def _window(size: int) -> str:
+    return (
+        "array_to_string(list(word) OVER (PARTITION BY doc_id ORDER BY i "
+        f"ROWS BETWEEN CURRENT ROW AND {size - 1} FOLLOWING), ' ')"
+    )
+
+
+NEAR_DUPLICATES = f"""
+    WITH RECURSIVE {_words(LOWER.format("text"))},
+    shingles AS (SELECT DISTINCT doc_id, shingle FROM (SELECT doc_id, i, n, {_window(5)} AS shingle FROM words)
+        WHERE i <= greatest(n - 4, 1)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM shingles x JOIN shingles y USING (shingle)
+        WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)),
+    reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+    least AS (SELECT a AS doc_id, min(b) AS other FROM reached GROUP BY a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id,
+           doc_id <= coalesce(other, doc_id) AS kept
+    FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"""
+
+WARC = """
+    WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+    firsts AS (SELECT *, strlen(body) AS size, min(page_id) OVER (PARTITION BY body) AS first_id FROM bodies)
+    SELECT page_id, size AS payload_bytes, sha256(body) AS payload_digest,
+           CASE WHEN size >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN size >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+    FROM firsts"""
+
+REPEATS = f"""
+    WITH {_words("text")},
+    windows AS (SELECT doc_id, i, n, word, CASE WHEN i <= n - 19 THEN {_window(20)} END AS win FROM words),
+    starts AS (SELECT *, win IS NOT NULL AND row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1 AS again FROM windows),
+    covered AS (SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+        FROM starts),
+    kept AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+        string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS text_kept FROM covered GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(text_kept, '')) AS kept_sha256
+    FROM documents LEFT JOIN kept USING (doc_id)"""
+
+BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _contaminated() -> str:
+    """Windows of ten words; items of fewer words are one window of their own length."""
+    sizes = range(1, 11)
+    doc_windows = " UNION ALL ".join(
+        f"SELECT doc_id, i, {k} AS size, {_window(k)} AS win FROM words WHERE {k} IN (SELECT size FROM item_windows) "
+        f"QUALIFY i <= n - {k - 1}"
+        for k in sizes
+    )
+    return f"""
+    WITH {_words(LOWER.format("text"), word=BENCH_WORD)},
+    items AS (SELECT item_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{BENCH_WORD}') AS own FROM benchmark),
+    item_windows AS (SELECT DISTINCT item_id, least(len(own), 10) AS size,
+            array_to_string(list_slice(own, k, k + 9), ' ') AS win
+        FROM (SELECT item_id, own, unnest(range(1, greatest(len(own) - 8, 2))) AS k FROM items WHERE len(own) > 0)),
+    doc_windows AS ({doc_windows}),
+    met AS (SELECT doc_id, i, size, item_id FROM doc_windows JOIN item_windows USING (size, win)),
+    hits AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM met) GROUP BY doc_id),
+    found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id)
+    SELECT doc_id, len(lists.words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM lists LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_minhash_neardup": NEAR_DUPLICATES,
+    "op4_decontamination": _contaminated(),
+    "op5_warc": WARC,
+    "op8_substring_dedup": REPEATS,
+    "op11_merkle_manifest": _merkle(),
+}
