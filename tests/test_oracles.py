@@ -16,10 +16,8 @@ TABLES = (
 
 # Beyond SQL, or too slow in it on whole tables: tests/llm holds these against plain versions.
 WITHOUT_SQL = {
-    "op1_minhash_neardup",
     "op2_line_dedup",
     "op3_secret_scan",
-    "op4_decontamination",
     "op6_quality_rules",
     "op7_packing",
     "op9_html_extraction",
