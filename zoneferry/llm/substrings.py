@@ -143,9 +143,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     often = seeds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
     marks = seeds.join(often, "h").groupBy("id").agg(F.collect_list(F.struct("pos", "n")).alias("marks"))
 
-    sources = docs.select("id", "th", "text").join(stage(marks, "repeat-marks"), "id")
+    marks = marks.join(first_texts.select("id", "th").distinct(), "id")
+    sources = docs.select("id", "th", "text").join(stage(marks, "repeat-marks"), ["id", "th"])
     copied = stage(copies.distinct(), "repeat-copied")
-    sources = sources.join(copied.select("id", "th"), ["id", "th"], "left_anti")
     windows = map_slices(sources, _window_rows, "h bigint, n bigint, id bigint, th binary, first int, wins array<bigint>, wins_2 array<bigint>")
 
     salt = F.pmod(F.hash("id"), F.ceil(F.col("n") / GROUP).cast("int"))
