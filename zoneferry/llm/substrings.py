@@ -8,7 +8,7 @@ document); every word of the later one goes.
    lose every word if they have 20 or more.
 2. Seeds: a window's anchor is the smallest fingerprint of its six-word runs
    (winnowing), so equal windows have equal anchors at equal places. Anchors that
-   occur once in the corpus seed nothing.
+   occur at one place of one text, copies aside, seed nothing.
 3. Extension: around each repeated anchor, every window it anchors, to both sides,
    is compared with those of the equal anchors by a fingerprint of 128 bits, as a
    digest of its words; all but the first are marked. Marks of neighbouring anchors join
@@ -138,12 +138,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     copies = docs.select("id", "th").join(same, "th").where("id > rep")
 
     found = stage(map_slices(docs.select("id", "th", "text"), _anchor_rows, "id bigint, th binary, h array<bigint>, pos array<int>"), "repeat-anchors")
-    first_texts = found.join(same, "th", "left").where("rep is null or id = rep")
-    seeds = first_texts.select("id", F.explode(F.arrays_zip("h", "pos")).alias("s")).select("id", "s.h", "s.pos")
-    often = seeds.groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    marks = seeds.join(often, "h").groupBy("id").agg(F.collect_list(F.struct("pos", "n")).alias("marks"))
+    seeds = found.select("id", "th", F.explode(F.arrays_zip("h", "pos")).alias("s")).select("id", "th", "s.h", "s.pos")
+    place = F.xxhash64("th", "pos")  # of copies of one text the same
+    often = seeds.groupBy("h").agg(F.count("*").alias("n"), F.min(place).alias("a"), F.max(place).alias("b")).where("a != b")
+    marks = seeds.select("id", "h", "pos").join(often.select("h", "n"), "h").groupBy("id").agg(F.collect_list(F.struct("pos", "n")).alias("marks"))
 
-    marks = marks.join(first_texts.select("id", "th").distinct(), "id")
+    first_texts = found.select("id", "th").distinct().join(same, "th", "left").where("rep is null or id = rep")
+    marks = marks.join(first_texts.select("id", "th"), "id")
     sources = docs.select("id", "th", "text").join(stage(marks, "repeat-marks"), ["id", "th"])
     copied = stage(copies.distinct(), "repeat-copied")
     windows = map_slices(sources, _window_rows, "h bigint, n bigint, id bigint, th binary, first int, wins array<bigint>, wins_2 array<bigint>")
