@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Texts turned into Python strings at a time, so that long ones do not add up.
 ROWS_AT_ONCE = 256
+#: Tasks that ``spread`` makes at most.
+MOST_TASKS = 20_000
 
 
 def table(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
@@ -82,6 +84,15 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small staged table of large pieces of work, dealt over as many tasks as it has rows.
+
+    The number is given: adaptive execution would merge rows as short as these into
+    one task. Beyond ``MOST_TASKS`` a task gets several rows in turn.
+    """
+    return df.repartition(max(1, min(df.count(), MOST_TASKS)))
+
+
 def without_columns(df: DataFrame, *used: str) -> DataFrame:
     """Only the columns an operator reads, so that others cannot clash with its own."""
     return df.select(*[F.col(f"`{c}`") for c in used])

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from zoneferry.llm.common import batch_of, slices
+from zoneferry.llm.common import batch_of, slices, spread
 from zoneferry.session import fresh_dir, stage
 
 # Fixed value: the end-of-document id of the 50k byte-level vocabulary.
@@ -115,20 +115,18 @@ def count_tokens(files: DataFrame, folder: str, end_id: int = END_ID) -> DataFra
     number = F.explode(F.sequence(F.lit(0), F.floor((F.col("tokens") - 1) / BLOCK_TOKENS)))
     blocks = files.where("tokens > 0").select("path", number.alias("block"), F.col("tokens").alias("all"))
     blocks = blocks.select("path", F.col("block").cast("bigint"), F.least(F.lit(BLOCK_TOKENS), F.col("all") - F.col("block") * BLOCK_TOKENS).cast("bigint").alias("tokens"))
-    spread = blocks.repartition("path", "block")
-    found = stage(spread.mapInArrow(_summaries(folder, end_id), "path string, block bigint, tokens bigint, separators bigint, last bigint"), "token-blocks")
+    found = stage(spread(blocks).mapInArrow(_summaries(folder, end_id), "path string, block bigint, tokens bigint, separators bigint, last bigint"), "token-blocks")
     order = Window.partitionBy("path").orderBy("block")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    stitched = found.select(
+    stitched = stage(found.select(
         "path",
         "block",
         "tokens",
         F.coalesce(F.sum("separators").over(earlier), F.lit(0)).alias("before"),
         F.coalesce(F.max("last").over(earlier) + 1, F.lit(0)).alias("open_from"),
         F.lead("block").over(order).isNull().alias("is_last"),
-    )
-    spread = stitched.repartition("path", "block")
-    return spread.mapInArrow(_documents(folder, end_id), "path string, doc_no bigint, start bigint, n_tokens bigint, closed boolean")
+    ), "token-stitched")
+    return spread(stitched).mapInArrow(_documents(folder, end_id), "path string, doc_no bigint, start bigint, n_tokens bigint, closed boolean")
 
 
 def token_counts(docs: DataFrame, tokenizer: str, pattern: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from zoneferry.llm.common import batch_of, slices
+from zoneferry.llm.common import batch_of, slices, spread
 from zoneferry.session import fresh_dir, stage
 
 MIN_REVISIT = 100
@@ -168,8 +168,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
 def read_archives(files: DataFrame, folder: str) -> DataFrame:
     """Per record: page_id, payload_bytes, payload_digest, record_type, refers_to."""
-    spread = files.select("path").repartition(F.col("path"))
-    return spread.mapInArrow(_reader(folder), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+    return spread(files.select("path")).mapInArrow(_reader(folder), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
