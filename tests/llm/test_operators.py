@@ -10,8 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from zoneferry.llm import decontam, lines, neardup, packing, pages, quality, secrets, substrings, tokencount, warc
-from zoneferry.llm.common import table, tokenizer_path
+from zoneferry.llm import common, decontam, lines, neardup, packing, pages, quality, secrets, substrings, tokencount, warc
+from zoneferry.llm.common import spread, table, tokenizer_path
+from zoneferry.session import stage
 
 SMALL = "/root/testdata/sf0.001"
 WORDS = ["alpha", "beta", "gamma", "delta", "Épsilon", "zeta", "eta", "theta", "iota", "kappa"]
@@ -369,12 +370,13 @@ def test_token_counts(docs, block, monkeypatch):
     import tiktoken
 
     monkeypatch.setattr(tokencount, "BLOCK_TOKENS", block)
+    monkeypatch.setattr(common, "MOST_TASKS", 16)
     path = tokenizer_path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     got = tokencount.token_counts(docs, path, public_tokenizers.PATTERN).collect()
-    assert Counter(r.n_tokens for r in got) == Counter(len(known.encode_ordinary(t)) + 1 for _, t in pairs(docs))
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == Counter((i, len(known.encode_ordinary(t)) + 1) for i, t in pairs(docs))
     assert all(r.closed for r in got)
     by_file = defaultdict(list)
     for r in got:
@@ -386,6 +388,13 @@ def test_token_counts(docs, block, monkeypatch):
             at += n
 
 
+def test_pieces_of_work_are_dealt_over_tasks(spark):
+    many = stage(spark.range(300).select(F.col("id").cast("string").alias("path")))
+    tasks = [r.path for r in spread(many).select(F.spark_partition_id().alias("path")).distinct().collect()]
+    assert len(tasks) > 100 and spread(many).count() == 300
+    assert spread(many.limit(0)).count() == 0
+
+
 def test_pipeline(spark, docs):
     import corpus_pipeline
 

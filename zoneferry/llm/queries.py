@@ -56,7 +56,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokencount.token_counts(
         table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
-    return counted.withColumn("path", F.element_at(F.split("path", "/"), -1)).withColumnRenamed("path", "file")
+    return counted.withColumn("path", F.regexp_extract("path", "(part-[0-9]+)-[^/]*$", 1)).withColumnRenamed("path", "file")
 
 
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ block emits its documents.
 
 Defined results: an empty document counts one token, its separator; tokens after
 the last separator are an unfinished document (``closed`` false); a null text is
-empty; an empty table writes no file.
+empty; repeated rows are documents of their own; a null doc_id stays null; an empty
+table writes no file.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from zoneferry.session import fresh_dir, stage
 END_ID = 50256
 BLOCK_TOKENS = 4_000_000
 
-_FILE = pa.schema([("path", pa.string()), ("tokens", pa.int64())])
+_FILE = pa.schema([("path", pa.string()), ("tokens", pa.int64()), ("doc_no", pa.int64()), ("doc_id", pa.int64())])
 _BLOCK = pa.schema([("path", pa.string()), ("block", pa.int64()), ("tokens", pa.int64()), ("separators", pa.int64()), ("last", pa.int64())])
 _DOC = pa.schema([("path", pa.string()), ("doc_no", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("closed", pa.bool_())])
 
@@ -38,13 +39,15 @@ def _token_writer(folder: str, tokenizer: str, pattern: str):
 
         import tiktoken
         from pyarrow import fs
+        from pyspark import TaskContext
 
         with open(tokenizer, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         encode = tiktoken.Encoding("flat", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         system, root = fs.FileSystem.from_uri(folder)
         system.create_dir(root, recursive=True)
-        name, tokens, out = f"{root}/{uuid.uuid4().hex}.tokens", 0, None
+        name = f"{root}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.tokens"
+        tokens, written, out = 0, 0, None
         try:
             for batch in slices(batches):
                 for text in batch.column("text").to_pylist():
@@ -53,11 +56,14 @@ def _token_writer(folder: str, tokenizer: str, pattern: str):
                     ids = np.array([*encode(text or ""), END_ID], "<u2")
                     out.write(ids.tobytes())
                     tokens += len(ids)
+                n = batch.num_rows
+                yield batch_of(_FILE, [[name] * n, [None] * n, np.arange(written, written + n), batch.column("doc_id")])
+                written += n
         finally:
             if out is not None:
                 out.close()
         if tokens:
-            yield batch_of(_FILE, [[name], [tokens]])
+            yield batch_of(_FILE, [[name], [tokens], [None], [None]])
 
     return run
 
@@ -105,8 +111,13 @@ def _documents(folder: str, end_id: int):
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, pattern: str) -> DataFrame:
-    """One flat file per task that has documents; returns (path, tokens)."""
-    written = docs.select("text").mapInArrow(_token_writer(folder, tokenizer, pattern), "path string, tokens bigint")
+    """One flat file per task that has documents.
+
+    Returns a row (path, tokens, null, null) per file and, since the files hold ids
+    and nothing else, a row (path, null, doc_no, doc_id) per document.
+    """
+    given = docs.select(F.col("doc_id").cast("bigint"), F.col("text"))
+    written = given.mapInArrow(_token_writer(folder, tokenizer, pattern), "path string, tokens bigint, doc_no bigint, doc_id bigint")
     return stage(written, "token-files")
 
 
@@ -130,6 +141,12 @@ def count_tokens(files: DataFrame, folder: str, end_id: int = END_ID) -> DataFra
 
 
 def token_counts(docs: DataFrame, tokenizer: str, pattern: str) -> DataFrame:
-    """Tokenise all documents to flat files and count the tokens of each document in them."""
+    """Tokenise all documents to flat files and count the tokens of each document in them.
+
+    Returns doc_id, path, doc_no (its number in the file), start, n_tokens, closed.
+    """
     folder = fresh_dir(docs.sparkSession, "tokens")
-    return count_tokens(write_tokens(docs, folder, tokenizer, pattern), folder)
+    written = write_tokens(docs, folder, tokenizer, pattern)
+    counted = count_tokens(written.where("tokens is not null").select("path", "tokens"), folder)
+    owners = written.where("tokens is null").select("path", "doc_no", "doc_id")
+    return owners.join(counted, ["path", "doc_no"]).select("doc_id", *counted.columns)
