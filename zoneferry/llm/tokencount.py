@@ -149,4 +149,5 @@ def token_counts(docs: DataFrame, tokenizer: str, pattern: str) -> DataFrame:
     written = write_tokens(docs, folder, tokenizer, pattern)
     counted = count_tokens(written.where("tokens is not null").select("path", "tokens"), folder)
     owners = written.where("tokens is null").select("path", "doc_no", "doc_id")
-    return owners.join(counted, ["path", "doc_no"]).select("doc_id", *counted.columns)
+    # Spark takes the counts for as small as the block rows they come from and would broadcast them.
+    return owners.join(counted.hint("merge"), ["path", "doc_no"]).select("doc_id", *counted.columns)
