@@ -261,3 +261,67 @@ def test_sync_rewrites_only_partitions_with_a_change(spark, s):
     assert spark.table(table).count() == 0
     with pytest.raises(ValueError):
         writes.sync_partitions(frame(spark, []), s.sink("plain", COLUMNS), ["k"])
+
+
+def routed(spark, s, sinks, data, load=1):
+    for sink in sinks:
+        if not spark.catalog.tableExists(f"{s.db}.{sink}"):
+            s.sink(sink, "k int, v string, load int", "load")
+    conditions = {f"{s.db}.{sink}": condition for sink, condition in sinks.items()}
+    counts = writes.route(data, conditions, {"load": load}, s.path("routed"))
+    return {table.rpartition(".")[2]: n for table, n in counts.items()}
+
+
+def test_route_deals_rows_in_one_write(spark, s):
+    sinks = {"all_": "true", "big": "k > 1", "none_": "k > 9", "null_": "v = 'b'"}
+    data = frame(spark, [(1, "a"), (2, "b"), (3, None)])
+    assert routed(spark, s, sinks, data) == {"all_": 3, "big": 2, "none_": 0, "null_": 1}
+    assert rows(spark.table(f"{s.db}.all_")) == [(1, "a", 1), (2, "b", 1), (3, None, 1)]
+    assert rows(spark.table(f"{s.db}.big")) == [(2, "b", 1), (3, None, 1)]
+    assert spark.table(f"{s.db}.none_").isEmpty()
+    assert rows(spark.table(f"{s.db}.null_")) == [(2, "b", 1)]
+    assert routed(spark, s, {"big": "true"}, frame(spark, [(7, "z")]), load=2) == {"big": 1}
+    assert rows(spark.table(f"{s.db}.big")) == [(2, "b", 1), (3, None, 1), (7, "z", 2)]
+
+
+def test_route_computes_rows_once_and_takes_no_rows(spark, s):
+    data = spark.range(20).select(F.col("id").cast("int").alias("k"), F.rand().cast("string").alias("v"))
+    routed(spark, s, {"a": "true", "b": "true"}, data)
+    assert rows(spark.table(f"{s.db}.a")) == rows(spark.table(f"{s.db}.b"))
+    assert routed(spark, s, {"c": "true"}, frame(spark, [])) == {"c": 0}
+
+
+def test_route_refuses_a_held_partition_and_other_columns(spark, s):
+    data = frame(spark, [(1, "a")])
+    routed(spark, s, {"a": "true"}, data)
+    with pytest.raises(ValueError):
+        routed(spark, s, {"b": "true", "a": "true"}, data)
+    assert spark.table(f"{s.db}.b").isEmpty()
+    s.sink("other", "k bigint, load int", "load")
+    with pytest.raises(ValueError):
+        routed(spark, s, {"a": "true", "other": "true"}, data, load=3)
+    s.sink("flat", "k int, v string")
+    with pytest.raises(ValueError):
+        routed(spark, s, {"flat": "true"}, data, load=4)
+
+
+def test_a_failed_route_detaches_what_it_attached(spark, s, monkeypatch):
+    data = frame(spark, [(1, "a")])
+    sinks = {"a": "true", "b": "true"}
+    for sink in sinks:
+        s.sink(sink, "k int, v string, load int", "load")
+    run, calls = type(spark).sql, []
+
+    def failing(self, text, *args, **kwargs):
+        if "ADD PARTITION" in text:
+            calls.append(text)
+            if len(calls) == 2:
+                raise RuntimeError("catalog gone")
+        return run(self, text, *args, **kwargs)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "sql", failing)
+        with pytest.raises(RuntimeError):
+            routed(spark, s, sinks, data)
+    assert spark.table(f"{s.db}.a").isEmpty()
+    assert routed(spark, s, sinks, data) == {"a": 1, "b": 1}

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import nullcontext
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from zoneferry.functions.columns import name, quoted
+from zoneferry.functions.columns import as_column, name, quoted
 from zoneferry.operators import keyed
 from zoneferry.operators.joins import anti_join
 from zoneferry.session import delete_path, setting, staged
@@ -117,6 +118,71 @@ def fan_out(
         mapped.createOrReplaceTempView(view)
 
 
+SINK = "zf_sink"
+
+
+def route(
+    df: DataFrame, sinks: Mapping[str, Column | str], partition: Mapping[str, Any], base: str
+) -> dict[str, int]:
+    """Deal rows to several tables in one write, then attach what each one got.
+
+    ``sinks`` names a condition per table; a row goes to every table whose condition
+    holds, to none where all are false or null. The tables have the same columns and are
+    partitioned by those of ``partition``. The rows are computed once, without a
+    shuffle, and written once, below a new directory of ``base``, by table; each table
+    then gets its directory as a partition in the catalog, which moves no file. A table that
+    has the partition already is refused before anything is written. If attaching fails,
+    what was attached is detached again. A table that gets no rows gets no partition.
+    Returns the rows of each table.
+    """
+    spark = df.sparkSession
+    tables = list(sinks)
+    spec = ", ".join(f"{quoted(c)} = {_literal(v)}" for c, v in partition.items())
+    schema = _shared_schema(spark, tables, list(partition))
+    for table in tables:
+        if not spark.sql(f"SHOW PARTITIONS {table_name(table)} PARTITION ({spec})").isEmpty():
+            raise ValueError(f"{table} already holds the partition ({spec})")
+    goes = [F.when(as_column(condition), F.lit(i)) for i, condition in enumerate(sinks.values())]
+    dealt = df.select("*", F.explode(F.array_compact(F.array(*goes))).alias(SINK))
+    rows = conform(dealt, T.StructType([*schema.fields, T.StructField(SINK, T.IntegerType())]))
+    seen = Observation()
+    counts = [F.count_if(F.col(SINK) == i).alias(f"n{i}") for i in range(len(tables))]
+    path = f"{base.rstrip('/')}/route-{uuid.uuid4().hex}"
+    rows.observe(seen, *counts).write.partitionBy(SINK).parquet(path)
+    taken = {table: seen.get[f"n{i}"] for i, table in enumerate(tables)}
+    attached: list[str] = []
+    try:
+        for i, table in enumerate(tables):
+            if taken[table]:
+                place = _text(f"{path}/{SINK}={i}")
+                spark.sql(f"ALTER TABLE {table_name(table)} ADD PARTITION ({spec}) LOCATION {place}")
+                attached.append(table)
+    except Exception:
+        for table in attached:
+            spark.sql(f"ALTER TABLE {table_name(table)} DROP IF EXISTS PARTITION ({spec})")
+        raise
+    return taken
+
+
+def _literal(value: Any) -> str:
+    return str(value) if isinstance(value, int) else _text(str(value))
+
+
+def _shared_schema(spark: SparkSession, tables: Sequence[str], partition: Sequence[str]) -> T.StructType:
+    """The columns, beside those of the partition, that all tables have alike."""
+    shared: T.StructType | None = None
+    for table in tables:
+        if partition_columns(spark, table) != list(partition):
+            raise ValueError(f"{table} is not partitioned by ({', '.join(partition)})")
+        fields = [f for f in spark.table(table).schema.fields if f.name not in partition]
+        if shared is not None and [(f.name, f.dataType) for f in shared] != [(f.name, f.dataType) for f in fields]:
+            raise ValueError(f"{table} has other columns than {tables[0]}")
+        shared = T.StructType(fields)
+    if shared is None:
+        raise ValueError("no tables given")
+    return shared
+
+
 def archive(df: DataFrame, table: str, column: str, snapshot: Any) -> int:
     """Append rows to a history table, marked with their snapshot."""
     marked = df.withColumn(column, F.lit(snapshot))

@@ -93,6 +93,13 @@ ORACLES: dict[str, str] = {
     "duplicate_keys": """
         SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "keys_already_loaded": """
+        WITH delta AS (
+            SELECT l_orderkey, l_linenumber + 3 AS l_linenumber, count(*) AS rows
+            FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL),
+        held AS (SELECT l_orderkey, l_linenumber, count(*) AS loaded FROM lineitem GROUP BY ALL)
+        SELECT l_orderkey, l_linenumber, rows, loaded
+        FROM delta JOIN held USING (l_orderkey, l_linenumber)""",
     "length_validation": " UNION ALL ".join(
         [
             longest_digits("lineitem", "l_orderkey", 0, 5),
@@ -222,6 +229,16 @@ ORACLES: dict[str, str] = {
         SELECT *, 'all_orders' AS sink FROM mapped
         UNION ALL SELECT *, 'large_orders' FROM mapped WHERE n_lines > 5
         UNION ALL SELECT *, 'empty_orders' FROM mapped WHERE n_lines = 0""",
+    "routed_sinks": " UNION ALL ".join(
+        f"""SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber,
+                   CAST(l_quantity AS DOUBLE) AS l_quantity, 1 AS load, '{sink}' AS sink
+            FROM lineitem WHERE {condition}"""
+        for sink, condition in (
+            ("shipped", "l_linestatus = 'F'"),
+            ("returned", "l_returnflag = 'R'"),
+            ("bulk", "l_quantity > 40"),
+        )
+    ),
     "archive_history": """
         SELECT *, '2024-01-30' AS snapshot FROM orders WHERE o_orderstatus <> 'P'
         UNION ALL SELECT *, '2024-01-31' FROM orders""",

@@ -11,11 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from zoneferry.operators import drilldown, keyed, mapping, quality, recon, reports, writes
+from zoneferry.operators import drilldown, keyed, loaded, mapping, quality, recon, reports, writes
 from zoneferry.operators.quality import Limit
 from zoneferry.plans import jobs
 from zoneferry.plans.scratch import scratch
-from zoneferry.session import fresh_dir, is_single_process
+from zoneferry.session import fresh_dir, is_single_process, stage
 from zoneferry.sources import files, jdbc
 from zoneferry.sources.catalog import run_sql
 
@@ -160,6 +160,14 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.duplicate_keys(lines, ["l_orderkey", "l_linenumber"], count="n_rows")
 
 
+@registered
+def keys_already_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    numbered = F.col("l_linenumber") + F.lit(3)
+    delta = lines.where("l_returnflag = 'R'").select("l_orderkey", numbered.alias("l_linenumber"))
+    return loaded.already_loaded(delta, lines, ["l_orderkey", "l_linenumber"])
+
+
 @registered
 def length_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = quality.length_validation(
@@ -520,6 +528,21 @@ def fanout_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
         return read[0].unionByName(read[1]).unionByName(read[2])
 
 
+@registered
+def routed_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with scratch(spark, "routed") as s:
+        conditions = {
+            "shipped": "l_linestatus = 'F'",
+            "returned": "l_returnflag = 'R'",
+            "bulk": "l_quantity > 40",
+        }
+        columns = "l_orderkey bigint, l_linenumber int, l_quantity double, load int"
+        sinks = {s.sink(sink, columns, "load"): condition for sink, condition in conditions.items()}
+        writes.route(table(spark, sf_dir, "lineitem"), sinks, {"load": 1}, s.path("routed"))
+        read = [spark.table(sink).withColumn("sink", F.lit(sink.rpartition(".")[2])) for sink in sinks]
+        return stage(read[0].unionByName(read[1]).unionByName(read[2]), "routed-rows")
+
+
 @registered
 def archive_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
