@@ -403,3 +403,19 @@ def test_pipeline(spark, docs):
         assert docs.columns == before.columns, name
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_dictionary_comes_from_the_whole_archive():
+    """Records of a kind that starts late shape the dictionary as well, and all are read back."""
+    import random
+
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=9)) for _ in range(400)]
+    kinds = [["first " + " ".join(rng.choices(words, k=60)) for _ in range(9_000)]]
+    kinds.append(["zebra-phrase-of-late-records " + " ".join(rng.choices(words, k=60)) for _ in range(9_000)])
+    records = [r.encode() for kind in kinds for r in kind]
+    assert sum(map(len, records[:9_000])) > warc.SAMPLE_BYTES
+    data = warc.archive(records)
+    size = int.from_bytes(data[4:8], "little")
+    assert b"zebra-phrase-of-late-records" in data[8 : 8 + size]
+    assert list(warc.records_of(data)) == records

@@ -1,7 +1,7 @@
 """WARC archives of pages with a Zstandard dictionary, and their reading back.
 
-An archive starts with a skippable frame that holds a dictionary built from its
-own first records; every record is a frame of its own, compressed with it. A
+An archive starts with a skippable frame that holds a dictionary built from records
+spread over it; every record is a frame of its own, compressed with it. A
 payload of ``MIN_REVISIT`` bytes or more is stored once, under the smallest
 page_id; other pages with it are revisit records, which carry the HTTP header of
 the full payload and its digest but no payload.
@@ -31,7 +31,7 @@ from zoneferry.session import fresh_dir, stage
 
 MIN_REVISIT = 100
 ARCHIVE_BYTES = 32_000_000
-#: The dictionary is fitted on the first records of its archive, up to so many bytes.
+#: The dictionary is fitted on every n-th record of its archive, some so many bytes in all.
 SAMPLE_BYTES, DICTIONARY_BYTES = 2_000_000, 16_384
 # Fixed value: the magic number of the frame that holds a dictionary.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -54,12 +54,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 
 def archive(records: list[bytes]) -> bytes:
     """The bytes of one archive."""
-    samples, size = [], 0
-    for r in records:
-        if size > SAMPLE_BYTES:
-            break
-        samples.append(r)
-        size += len(r)
+    samples = records[:: max(1, -(-sum(map(len, records)) // SAMPLE_BYTES))]
     try:
         fitted = zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=256, d=8)
     except zstandard.ZstdError:  # too few or too small samples to fit one
