@@ -419,3 +419,15 @@ def test_dictionary_comes_from_the_whole_archive():
     size = int.from_bytes(data[4:8], "little")
     assert b"zebra-phrase-of-late-records" in data[8 : 8 + size]
     assert list(warc.records_of(data)) == records
+
+
+def test_records_of_any_length_are_read_back():
+    """Empty records, ones longer than a reading piece, and a cut archive."""
+    import random
+
+    rng = random.Random(7)
+    records = [rng.randbytes(n) for n in (0, 1, 20, 16_384, 16_385, 200_000, 0, 300)] + [b"x" * 1_000_000]
+    data = warc.archive(records)
+    assert list(warc.records_of(data)) == records
+    with pytest.raises(ValueError):
+        list(warc.records_of(data[:-3]))

@@ -36,6 +36,8 @@ SAMPLE_BYTES, DICTIONARY_BYTES = 2_000_000, 16_384
 # Fixed value: the magic number of the frame that holds a dictionary.
 DICTIONARY_MAGIC = 0x184D2A5D
 LEVEL = 3
+#: A frame is read in pieces of so many bytes: what follows it is copied only so far.
+READ_BYTES = 16_384
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
@@ -72,11 +74,17 @@ def records_of(data: bytes) -> Iterator[bytes]:
         raise ValueError("an archive starts with its dictionary")
     body = data[8 : 8 + size]
     decompressor = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(body))
-    rest = data[8 + size :]
-    while rest:
-        frame = decompressor.decompressobj()
-        yield frame.decompress(rest)
-        rest = frame.unused_data
+    view, at = memoryview(data), 8 + size
+    while at < len(data):
+        frame, parts = decompressor.decompressobj(), []
+        while not frame.eof:
+            piece = view[at : at + READ_BYTES]
+            if not piece:
+                raise ValueError("an archive ends inside a record")
+            parts.append(frame.decompress(piece))
+            at += len(piece)
+        at -= len(frame.unused_data)
+        yield b"".join(parts)
 
 
 def parsed(data: bytes) -> tuple[int | None, int, str, str, int | None, bytes]:
