@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from zoneferry import session
 from zoneferry.llm import common, decontam, lines, neardup, packing, pages, quality, secrets, substrings, tokencount, warc
 from zoneferry.llm.common import spread, table, tokenizer_path
 from zoneferry.session import stage
@@ -362,6 +363,22 @@ def test_main_text(spark):
     assert pages.main_text(table(spark, SMALL, "pages")).where("length(text) > 0").count() == table(spark, SMALL, "pages").count()
 
 
+def test_every_page_is_differenced(spark):
+    page = "<body><main><div>Share this</div><article><h1>{0}</h1><p>Same sentence</p></article><div>{1}</div></main></body>"
+    rows = [(i, f"http://h/{i}", page.format(f"Title {i}", f"By {i}")) for i in range(3)]
+    rows += [(10 + i, f"http://copies/{i}", page.format("One title", "By one")) for i in range(2)]
+    rows += [(20 + i, f"http://parts/{i}", f"<main><p>Shared</p><p>Own {i}</p></main>") for i in range(2)]
+    rows += [(30, "http://twice/", page.format("T", "B"))] * 2 + [(40, "http://bare/", "<p>Whole</p>")] * 2
+    rows += [(50 + i, f"http://mixed/{i}", "<p>Shared</p><p>Plain</p>" if i else "<article><p>Shared</p><p>Own</p></article>") for i in range(2)]
+    found = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    got = Counter((r.page_id, r.text) for r in found)
+    expected = [(i, f"Title {i}\n\nSame sentence\n\nBy {i}") for i in range(3)]
+    expected += [(10 + i, "Share this\n\nOne title\n\nSame sentence\n\nBy one") for i in range(2)]
+    expected += [(20 + i, f"Shared\n\nOwn {i}") for i in range(2)]
+    expected += [(30, "Share this\n\nT\n\nSame sentence\n\nB")] * 2 + [(40, "")] * 2 + [(50, "Shared\n\nOwn"), (51, "Plain")]
+    assert got == Counter(expected)
+
+
 @pytest.mark.parametrize("block", [tokencount.BLOCK_TOKENS, 97])
 def test_token_counts(docs, block, monkeypatch):
     import base64

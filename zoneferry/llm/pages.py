@@ -2,16 +2,20 @@
 
 A page is cut into blocks (text lines) at block tags. Elements that declare
 themselves furniture (navigation, header, footer, aside, forms, scripts, or such
-a class, id or role) go with all they hold. Where a page declares its article or
-main part, the blocks in it are the text: pages may share an article or a
-sentence, so differencing would delete real text there. Elsewhere the page is
-held against the page with the nearest URL path on its host: both neighbours in
-path order are looked at, the one with the longer common path wins (the earlier
-if equal), lines are aligned by longest common subsequence, and shared lines go.
+a class, id or role) go with all they hold. Every page is held against the page
+with the nearest URL path on its host: both neighbours in path order are looked at,
+the one with the longer common path wins (the earlier if equal), lines are aligned
+by longest common subsequence, and shared lines go.
 
-Pages without a declared article are ordered by a range partitioning on host and
-path, so a large host spreads over tasks; neighbours meet by their number in that
-order. Pages with one are not shuffled at all.
+A declared article guards its lines, since pages may share an article or a sentence:
+lines in an ``article`` element stay though shared, and so do those in a ``main`` of
+a page without one. What lies outside both goes where either is declared. A
+neighbour with the same guarded lines is a copy and shows no furniture.
+
+Pages are ordered by a range partitioning on host and path, so a large host spreads
+over tasks; neighbours meet by their number in that order. Only 64-bit hashes of
+lines travel for that. Lists of the lines to drop then go back to the pages that have
+any; a page's html moves only when those lists are too many to broadcast.
 
 Defined results: null or empty html gives an empty text; a null url has an empty
 host and path; repeated rows each get a row (and differ with one another where no
@@ -25,6 +29,7 @@ from bisect import bisect_left
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from zoneferry.llm.common import batch_of, map_slices, slices
@@ -34,6 +39,8 @@ from zoneferry.session import stage
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template"}
 FURNITURE = RAW | {"head", "nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "svg", "canvas", "object", "audio", "video"}
 MAIN = {"article", "main"}
+#: Where a block is: in neither, in a main element only, in an article element.
+OUTSIDE, MAIN_PART, ARTICLE = 0, 1, 2
 BLOCKS = set(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6"
     " hr html legend li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -65,17 +72,18 @@ def _furniture(name: str, tag: str) -> bool:
     return False
 
 
-def blocks_of(html: str) -> list[tuple[str, bool]]:
-    """(text, inside an article or main element) of the blocks that are not furniture."""
-    out: list[tuple[str, bool]] = []
+def blocks_of(html: str) -> list[tuple[str, int]]:
+    """(text, place) of the blocks that are not furniture; see ``OUTSIDE``."""
+    out: list[tuple[str, int]] = []
     pieces: list[str] = []
-    inside, at, end = 0, 0, len(html)
+    opened: list[str] = []
+    at, end = 0, len(html)
 
     def close() -> None:
         text = " ".join(unescape("".join(pieces)).split())
         pieces.clear()
         if text:
-            out.append((text, inside > 0))
+            out.append((text, ARTICLE if "article" in opened else MAIN_PART if opened else OUTSIDE))
 
     skipping, depth = "", 0
     while at < end:
@@ -105,7 +113,10 @@ def blocks_of(html: str) -> list[tuple[str, bool]]:
                 continue
         if name in MAIN:
             close()
-            inside = max(0, inside + (-1 if closing else 1))
+            if not closing:
+                opened.append(name)
+            elif opened:
+                opened.pop()
         elif not closing and name not in VOID and _furniture(name, tag):
             close()
             if not tag.endswith("/>"):
@@ -118,13 +129,15 @@ def blocks_of(html: str) -> list[tuple[str, bool]]:
     return out
 
 
-def declared_text(html: str) -> str:
-    return "\n\n".join(t for t, inside in blocks_of(html) if inside)
+def guarded(places: list[int]) -> list[bool]:
+    """Whether a block stays though it is shared."""
+    least = ARTICLE if ARTICLE in places else MAIN_PART
+    return [p >= least for p in places]
 
 
-def common_lines(a: list[str], b: list[str]) -> set[int]:
+def common_lines(a: list, b: list) -> set[int]:
     """Indices in ``a`` of a longest common subsequence with ``b``."""
-    places: dict[str, list[int]] = {}
+    places: dict[object, list[int]] = {}
     for j in range(len(b) - 1, -1, -1):
         places.setdefault(b[j], []).append(j)
     ends: list[int] = []
@@ -154,40 +167,43 @@ def _shared_prefix(a: str, b: str) -> int:
     return n
 
 
-def without_shared(host: str, path: str, lines: list[str], others: list[dict]) -> list[str]:
-    """Lines that the nearest page of the host does not share."""
-    near = [o for o in others if o is not None and o["host"] == host]
+def shared_lines(page: dict, others: list[dict | None]) -> list[int]:
+    """Indices of the unguarded lines that the nearest page of the host shares."""
+
+    def kept(of: dict) -> list[int]:
+        return [line for line, stays in zip(of["lines"], of["stays"]) if stays]
+
+    own = kept(page)
+    near = [o for o in others if o is not None and o["host"] == page["host"] and not (own and kept(o) == own)]
     if not near:
-        return lines
-    nearest = max(near, key=lambda o: _shared_prefix(path, o["path"]))
-    shared = common_lines(lines, nearest["lines"])
-    return [t for i, t in enumerate(lines) if i not in shared]
+        return []
+    nearest = max(near, key=lambda o: _shared_prefix(page["path"], o["path"]))
+    return sorted(i for i in common_lines(page["lines"], nearest["lines"]) if not page["stays"][i])
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 _TEXT_SQL = "page_id bigint, url string, text string"
-_LINES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("lines", pa.list_(pa.string()))])
-_LINES_SQL = "page_id bigint, url string, host string, path string, lines array<string>"
+_KEY = [("page_id", pa.int64()), ("url", pa.string()), ("th", pa.binary())]
+_KEY_SQL = "page_id bigint, url string, th binary"
+_LINES = pa.schema([*_KEY, ("host", pa.string()), ("path", pa.string()), ("lines", pa.list_(pa.int64())), ("stays", pa.list_(pa.bool_()))])
+_LINES_SQL = f"{_KEY_SQL}, host string, path string, lines array<bigint>, stays array<boolean>"
+_DROPPED = pa.schema([*_KEY, ("dropped", pa.list_(pa.int32()))])
 _URL = re.compile(r"^(?:[A-Za-z][\w+.-]*:)?//([^/?#]*)([^?#]*)")
 
 
-def _declared(batch: pa.RecordBatch) -> pa.RecordBatch:
-    rows = [(p, u, declared_text(h)) for p, u, h in zip(*(c.to_pylist() for c in batch.columns)) if _DECLARES.search(h)]
-    return batch_of(_TEXT, [list(x) for x in zip(*rows)] or [[], [], []])
-
-
-def _undeclared(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
     out: list[list] = [[] for _ in _LINES]
-    for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-        if not _DECLARES.search(html):
-            host, path = (m.groups() if (m := _URL.match(url or "")) else ("", url or ""))
-            for column, value in zip(out, (page_id, url, host.lower(), path, [t for t, _ in blocks_of(html)])):
-                column.append(value)
+    for page_id, url, th, html in zip(*(c.to_pylist() for c in batch.columns)):
+        host, path = (m.groups() if (m := _URL.match(url or "")) else ("", url or ""))
+        blocks = blocks_of(html)
+        lines = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t, _ in blocks]
+        for column, value in zip(out, (page_id, url, th, host.lower(), path, lines, guarded([p for _, p in blocks]))):
+            column.append(value)
     return batch_of(_LINES, out)
 
 
 def _numbered(batches):
-    schema = pa.schema([*_LINES, ("place", pa.int64())])
+    schema = pa.schema([*_LINES, ("copies", pa.int64()), ("place", pa.int64())])
     n = 0
     for batch in slices(batches):
         yield batch_of(schema, [*batch.columns, list(range(n, n + batch.num_rows))])
@@ -195,32 +211,55 @@ def _numbered(batches):
 
 
 def _differenced(batch: pa.RecordBatch) -> pa.RecordBatch:
-    rows = [
-        (p, u, "\n\n".join(without_shared(h, path, lines, [before, after])))
-        for p, u, h, path, lines, before, after in zip(*(c.to_pylist() for c in batch.columns))
-    ]
-    return batch_of(_TEXT, [list(x) for x in zip(*rows)])
-
-
-def main_text(pages: DataFrame) -> DataFrame:
-    """Per page: page_id, url, text."""
-    pages = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.coalesce("html", F.lit("")).alias("html"))
-    declared = map_slices(pages, _declared, _TEXT_SQL, 64)
-
-    lines = map_slices(pages, _undeclared, _LINES_SQL, 64)
-    order = ("host", "path", "page_id")
-    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = ordered.mapInArrow(_numbered, f"{_LINES_SQL}, place bigint").withColumn("part", F.spark_partition_id())
+    """The lines to drop of the pages that have any; of repeated rows one is the other's neighbour."""
+    out: list[list] = [[] for _ in _DROPPED]
+    for row in batch.to_pylist():
+        near = [row] if row["copies"] > 1 else [row["previous"], row["next"]]
+        if dropped := shared_lines(row, near):
+            for column, value in zip(out, (row["page_id"], row["url"], row["th"], dropped)):
+                column.append(value)
+    return batch_of(_DROPPED, out)
+
+
+def _texts(batch: pa.RecordBatch) -> pa.RecordBatch:
+    page_id, url, html, dropped = batch.columns
+    found = []
+    for page, gone in zip(html.to_pylist(), dropped.to_pylist()):
+        least = MAIN_PART if _DECLARES.search(page) else OUTSIDE
+        gone = set(gone or ())
+        found.append("\n\n".join(t for i, (t, place) in enumerate(blocks_of(page)) if place >= least and i not in gone))
+    return batch_of(_TEXT, [page_id, url, found])
+
+
+def _shared(pages: DataFrame) -> DataFrame:
+    """(page_id, url, th, dropped) of the pages that share unguarded lines with the nearest one, staged."""
+    rows = map_slices(pages.select("page_id", "url", "th", "html"), _hashed, _LINES_SQL, 64)
+    rows = rows.groupBy("host", "path", "page_id", "url", "th").agg(
+        F.first("lines").alias("lines"), F.first("stays").alias("stays"), F.count(F.lit(1)).alias("copies")
+    )
+    rows = rows.select(*_LINES.names, "copies")
+    order = ("host", "path", "page_id", "th")
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = ordered.mapInArrow(_numbered, f"{_LINES_SQL}, copies bigint, place bigint").withColumn("part", F.spark_partition_id())
     numbered = stage(numbered, "pages-ordered")
     sizes = numbered.groupBy("part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
     placed = numbered.join(sizes, "part").withColumn("at", F.col("place") + F.col("before"))
-    placed = stage(placed.select("page_id", "url", "host", "path", "lines", "at"), "pages-placed")
+    placed = stage(placed.drop("part", "place", "before"), "pages-placed")
 
     def neighbour(step: int, name: str) -> DataFrame:
-        return placed.select((F.col("at") - step).alias("at"), F.struct("host", "path", "lines").alias(name))
+        return placed.select((F.col("at") - step).alias("at"), F.struct("host", "path", "lines", "stays").alias(name))
 
     beside = placed.join(neighbour(-1, "previous"), "at", "left").join(neighbour(1, "next"), "at", "left")
-    beside = beside.select("page_id", "url", "host", "path", "lines", "previous", "next")
-    return declared.union(map_slices(beside, _differenced, _TEXT_SQL, 64))
+    return stage(map_slices(beside, _differenced, f"{_KEY_SQL}, dropped array<int>", 64), "pages-shared")
+
+
+def main_text(pages: DataFrame) -> DataFrame:
+    """Per page: page_id, url, text."""
+    pages = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.coalesce("html", F.lit("")).alias("html"))
+    pages = pages.withColumn("th", F.unhex(F.md5("html")))
+    shared = _shared(pages).toDF("page_id_2", "url_2", "th_2", "dropped")
+    same = (F.col("th") == F.col("th_2")) & F.col("page_id").eqNullSafe(F.col("page_id_2")) & F.col("url").eqNullSafe(F.col("url_2"))
+    rows = pages.join(shared, same, "left").select("page_id", "url", "html", "dropped")
+    return map_slices(rows, _texts, _TEXT_SQL, 64)
