@@ -319,6 +319,33 @@ def test_packing(docs):
     assert short <= 1
 
 
+def test_near_copies_meet_one_leader_each_first(spark, monkeypatch):
+    chance, base, rows = random.Random(5), prose(6, 200).split(), []
+    for i in range(80):
+        words = list(base)
+        for at in chance.sample(range(200), 4):
+            words[at] = f"new{i}x{at}"
+        rows.append((i, " ".join(words)))
+    rows.append((80, " ".join(base)))
+    counts, likely = [], neardup._likely_pairs
+
+    def counted(pairs, classes):
+        counts.append((pairs.count(), classes.count()))
+        return likely(pairs, classes)
+
+    monkeypatch.setattr(neardup, "_likely_pairs", counted)
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert counts[0][0] <= counts[0][1] == 81
+    sets = {i: set(neardup.shingles(t).tolist()) for i, t in rows}
+    names = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = sorted((names[a], names[b]))
+                names = {k: x if v == y else v for k, v in names.items()}
+    assert {r.doc_id: r.component_id for r in found} == names
+
+
 def test_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
 

@@ -9,12 +9,14 @@ and the smallest document id that links lead to names the component.
 2. A class has 160 registers: truncated minima of exponential variables on an
    exponential scale of base 1.001 (SetSketch). Forty bands of four registers
    make its buckets; a pair at 0.75 shares none with probability 3e-7.
-3. In every bucket all classes are held against its leader (a star, not all pairs): the
-   class that meets most others over all its buckets, as the text that others are
-   copied from does. Register comparisons and set sizes give the maximum-likelihood
-   similarity; pairs far below the threshold go. The rest are verified on full
-   sets, and verified links join classes to components. Buckets that still hold several
-   components get their next leader, ``LEADERS`` times in all.
+3. A bucket's leader is the class that meets most others over all its buckets, as the
+   text that others are copied from does. First every class is held against the best
+   leader of its buckets alone, so that a large group becomes one component at a pair a
+   class. Then in every bucket that still holds several components, classes are held
+   against its leader (a star, not all pairs), and against the next one, up to
+   ``LEADERS`` times. Register comparisons and set sizes give the maximum-likelihood similarity;
+   pairs far below the threshold go. The rest are verified on full sets, and verified
+   links join classes to components.
 4. Classes of buckets that are open after that are searched exactly across components
    by their rarest shingles, so that a link between two classes neither of which is linked
    with a leader is found as well. Two documents already in one component need no
@@ -254,40 +256,57 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links; only the components that these join are walked again, each as one node."""
+    a = _labelled(links.select(F.col("a").alias("node"), "b"), labels).select(F.col("b").alias("node"), F.col("label").alias("a"))
+    met = components(_labelled(a, labels).select("a", F.col("label").alias("b")).distinct()).toDF("label", "least")
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    known = labels.union(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label")))
+    return stage(known.join(met, "label", "left").select("node", F.coalesce("least", "label").alias("label")), "near-labels")
+
+
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     out = rows.join(labels, "node", "left")
     return out.withColumn("label", F.coalesce("label", "node"))
 
 
-def _led(members: DataFrame, classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and component labels found by holding buckets' members against their leaders.
+def _led(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Component labels found by holding buckets' members against their leaders.
 
-    A round's pairs are at most as many as there are members. A member leads its bucket
-    once; pairs held against each other before are not again.
+    At first there is a pair a class at most, then in a round at most as many as there are
+    members. A member leads its bucket once; pairs held against each other before are not
+    again. A round without a link is the last: what it leaves open is searched exactly.
     """
     spark = members.sparkSession
-    links, tested = (spark.createDataFrame([], "a bigint, b bigint") for _ in range(2))
+    tested = spark.createDataFrame([], "a bigint, b bigint")
     labels = spark.createDataFrame([], "node bigint, label bigint")
+    ends = F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
+    best = members.groupBy("slot").agg(F.max(F.struct("degree", "node")).alias("lead"))
+    best = members.join(best, "slot").where("node != lead.node").groupBy("node").agg(F.max("lead").alias("lead"))
+    best = best.select("node", F.col("lead.node").alias("leader")).select(*ends).distinct()
     waiting = members
-    for _ in range(LEADERS):
-        rows = _labelled(waiting, labels)
-        lead = rows.groupBy("slot").agg(
-            F.max(F.struct("degree", "node", "label")).alias("lead"), F.min("label").alias("x"), F.max("label").alias("y")
-        )
-        lead = lead.where("x < y").select("slot", F.col("lead.node").alias("leader"), F.col("lead.label").alias("led"))
-        waiting = stage(waiting.join(lead, "slot").where("node != leader").select("slot", "node", "degree", "leader", "led"), "near-waiting")
-        ends = F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")
-        pairs = _labelled(waiting, labels).where("label != led").select(*ends).distinct()
-        likely = _likely_pairs(pairs.join(tested, ["a", "b"], "left_anti"), classes)
-        if likely.isEmpty():
+    for turn in range(LEADERS + 1):
+        if turn:
+            rows = _labelled(waiting, labels)
+            lead = rows.groupBy("slot").agg(
+                F.max(F.struct("degree", "node", "label")).alias("lead"), F.min("label").alias("x"), F.max("label").alias("y")
+            )
+            lead = lead.where("x < y").select("slot", F.col("lead.node").alias("leader"), F.col("lead.label").alias("led"))
+            waiting = stage(waiting.join(lead, "slot").where("node != leader").select("slot", "node", "degree", "leader", "led"), "near-waiting")
+            pairs = _labelled(waiting, labels).where("label != led").select(*ends).distinct()
+            waiting = waiting.select("slot", "node", "degree")
+        pairs = stage(pairs.join(tested, ["a", "b"], "left_anti") if turn else best, "near-pairs")
+        if pairs.isEmpty():
             break
+        tested = tested.union(pairs)
+        likely = _likely_pairs(pairs, classes)
         nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
         found = _linked(likely, _texts_of(nodes, classes, docs))
-        waiting, tested = waiting.select("slot", "node", "degree"), tested.union(likely)
         if not found.isEmpty():
-            links = links.union(found)
-            labels = components(links)
-    return links, labels
+            labels = _merged(labels, found)
+        elif turn:
+            break
+    return labels
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
@@ -309,7 +328,7 @@ def _with_components(docs: DataFrame) -> DataFrame:
     met = stage(slots.join(shared, "slot"), "near-met")
     degrees = met.groupBy("node").agg(F.sum(F.col("size") - 1).alias("degree"))
     members = stage(met.select("slot", "node").join(degrees, "node"), "near-members")
-    links, labels = _led(members, classes, docs)
+    labels = _led(members, classes, docs)
 
     left = _labelled(members.select("slot", "node"), labels)
     open_ = left.groupBy("slot").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("slot")
@@ -318,7 +337,7 @@ def _with_components(docs: DataFrame) -> DataFrame:
     held = _texts_of(rest.select("node"), classes, docs)
     more = _linked(_likely_pairs(_across(rest, held), classes), held)
     if not more.isEmpty():
-        labels = components(links.union(more))
+        labels = _merged(labels, more)
 
     named = _labelled(classes.select("node", "rep"), labels)
     names = named.groupBy("label").agg(F.min("rep").alias("component_id"))
