@@ -346,6 +346,15 @@ def test_near_copies_meet_one_leader_each_first(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found} == names
 
 
+def test_line_keys_are_one_expression(spark):
+    rows = [(1, "0123456789ABCDEFGHIJ", 20), (2, "0123456789xABCDEFGHIJ", 21), (3, "0123456789xxxABCDEFGHIJ", 23)]
+    df = spark.createDataFrame(rows, "line_id long, line string, chars int")
+    probes, index = lines.probe_keys(df, 2), lines.index_keys(df, 2)
+    assert probes._jdf.queryExecution().optimizedPlan().toString().count("xxhash64") == 1
+    met = {tuple(r) for r in probes.join(index.toDF("key", "other"), "key").where("line_id != other").select("line_id", "other").collect()}
+    assert (2, 1) in met and (3, 2) in met and (3, 1) not in met
+
+
 def test_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
 

@@ -25,7 +25,7 @@ gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from zoneferry.session import stage
 
@@ -36,34 +36,35 @@ NULL_ID = -(1 << 63)
 SLOTS = 1 << 20
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment ``i`` of a line; the last ones are longer."""
-    parts = edits + 1
+def _keys(lines: DataFrame, places: list[tuple[int, int, int]], edits: int) -> DataFrame:
+    """(key, line_id), a row per line and place (segment, how much shorter a line, shift).
+
+    Segment ``i`` of a line of the shorter length, looked for ``shift`` characters further;
+    the last segments of a length are longer. One expression in a loop over the places: all
+    of them side by side make a method too long for the JVM to compile.
+    """
+    each = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(less).alias("less"), F.lit(shift).alias("shift")) for i, less, shift in places])
+    rows = lines.select("line", "chars", "line_id", F.explode(each).alias("place"))
+    i, length, parts = F.col("place.i"), F.col("chars") - F.col("place.less"), edits + 1
     base = F.floor(length / parts).cast("int")
-    longer = F.greatest(F.lit(0), i - (parts - length % parts))
+    start = base * i + F.greatest(F.lit(0), i - (parts - length % parts))
     size = base + F.when(i >= parts - length % parts, 1).otherwise(0)
-    return base * i + longer, size
-
-
-def _key(line: Column, length: Column, i: int, shift: int, edits: int) -> Column:
-    start, size = _segment(length, i, edits)
-    return F.xxhash64(F.lit(i), length, F.substr(line, start + 1 + shift, size))
+    return rows.select(F.xxhash64(i, length, F.substr("line", start + 1 + F.col("place.shift"), size)).alias("key"), "line_id")
 
 
-def index_keys(line: Column, chars: Column, edits: int) -> Column:
-    length = chars
-    return F.array(*[_key(line, length, i, 0, edits) for i in range(edits + 1)])
+def index_keys(lines: DataFrame, edits: int) -> DataFrame:
+    return _keys(lines, [(i, 0, 0) for i in range(edits + 1)], edits)
 
 
-def probe_keys(line: Column, chars: Column, edits: int) -> Column:
+def probe_keys(lines: DataFrame, edits: int) -> DataFrame:
     """Keys of the segments a line of equal or lower length would have in this one."""
-    keys = []
-    for less in range(edits + 1):
-        length = chars - less
-        for i in range(edits + 1):
-            for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                keys.append(_key(line, length, i, shift, edits))
-    return F.array(*keys)
+    places = [
+        (i, less, shift)
+        for less in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)
+    ]
+    return _keys(lines, places, edits)
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -85,14 +86,11 @@ def _among(rows: DataFrame, wanted: DataFrame, on: str) -> DataFrame:
 
 def _late_lines(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     """(line_id) of the distinct lines that have an earlier neighbour within the edits."""
-    index = lines.select(F.explode(index_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id")
-    index = index.groupBy("key").agg(F.min("line_id").alias("lo"), F.max("line_id").alias("hi"))
-    probes = lines.select(F.explode(probe_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id")
-    met = probes.join(index, "key").where((F.col("lo") != F.col("line_id")) | (F.col("hi") != F.col("line_id")))
+    index = index_keys(lines, edits).groupBy("key").agg(F.min("line_id").alias("lo"), F.max("line_id").alias("hi"))
+    met = probe_keys(lines, edits).join(index, "key").where((F.col("lo") != F.col("line_id")) | (F.col("hi") != F.col("line_id")))
     met = stage(met.select("key", "line_id").distinct(), "line-met")
 
-    own = lines.select(F.explode(index_keys(F.col("line"), F.col("chars"), edits)).alias("key"), "line_id")
-    own = _among(own, met, "key").join(met.select("key").distinct(), "key", "left_semi")
+    own = _among(index_keys(lines, edits), met, "key").join(met.select("key").distinct(), "key", "left_semi")
     own = stage(own.distinct(), "line-own")
     wanted = stage(met.select("line_id").union(own.select("line_id")).distinct(), "line-wanted")
     texts = _among(lines, wanted, "line_id").join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.first("line").alias("line"))
