@@ -386,6 +386,14 @@ def test_substrings(docs, group, monkeypatch):
     assert len(got) == docs.count() and {tuple(r) for r in got} == expected
 
 
+def test_substrings_leave_one_copy_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    rows = [(1, prose(4, 60)), (2, "x " + prose(4, 60)), (3, prose(4, 60))]
+    kept = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.glob("zoneferry/*/*")] == ["repeat-masks"]
+    assert {r.doc_id: r.n_removed for r in kept.collect()} == {1: 0, 2: 60, 3: 60}
+
+
 def test_main_text(spark):
     shell = "<html><head><title>t</title></head><body><nav>menu</nav>{}<footer>&copy; x</footer></body></html>"
     declared = shell.format("<div class='ad'>buy</div><article><h1>A &amp; B</h1><p><b>one<br>two<p>thr<i>ee</i><div class=comments>no</div><script>if(a<b){}</script></article>")
