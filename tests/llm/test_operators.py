@@ -355,6 +355,24 @@ def test_line_keys_are_one_expression(spark):
     assert (2, 1) in met and (3, 2) in met and (3, 1) not in met
 
 
+def test_own_segments_are_no_probes(spark):
+    """Index rows alone tell which segments are shared, in lines of one-byte characters and of others."""
+    texts = ["0123456789ABCDEFGHIJ", "0123456789ABCDEFGxyJ", "éèê3456789ABCDEFGHIJ", "0123456789ABCDEFGHIJÖ", "nothing shared with another line"]
+    df = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(texts)], "line_id long, line string, chars int")
+    probes, index = lines.probe_keys(df, 2), lines.index_keys(df, 2)
+    assert {r["count"] for r in probes.groupBy("line_id").count().collect()} == {9}
+    assert probes.intersect(index).isEmpty()
+    shared = index.toDF("key", "other").join(index, "key").where("line_id < other").select("line_id", "other")
+    assert {tuple(r) for r in shared.collect()} == {(0, 1), (0, 2), (1, 2)}
+    met = probes.join(index.toDF("key", "other"), "key").where("line_id != other").select("line_id", "other")
+    assert {(3, 0), (3, 1)} <= {tuple(r) for r in met.collect()}
+    docs = spark.createDataFrame([(i, "\n".join(reversed(texts[: i + 1]))) for i in range(len(texts))], "doc_id long, text string")
+    got = {r.doc_id: list(r.dropped) for r in lines.report(docs).collect()}
+    assert got == {0: [], 1: [0, 1], 2: [1, 2], 3: [0, 1, 2, 3], 4: [1, 2, 3, 4]}
+    equal = {r.doc_id: list(r.dropped) for r in lines.report(docs, 0).collect()}
+    assert equal == {0: [], 1: [1], 2: [1, 2], 3: [1, 2, 3], 4: [1, 2, 3, 4]}
+
+
 def test_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
 

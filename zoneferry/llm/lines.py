@@ -9,7 +9,8 @@ number). Shorter lines are left alone: they say too little to be told apart.
    edits, the longer one has a segment of the shorter near its own place. Segments
    are indexed by line length, number and content; the longer line probes the
    lengths it can match, at the starts that the number of edits on either side
-   allows.
+   allows. Its own segments are in the index, which tells by itself which of
+   them several lines have, so they are no probes.
 3. Only lines that share a key with a different line go on with their text, and
    only under the keys they share. There a semi join on the keys verifies by edit
    distance within the band, so a line needs one earlier neighbour and no pairs are
@@ -41,15 +42,22 @@ def _keys(lines: DataFrame, places: list[tuple[int, int, int]], edits: int) -> D
 
     Segment ``i`` of a line of the shorter length, looked for ``shift`` characters further;
     the last segments of a length are longer. One expression in a loop over the places: all
-    of them side by side make a method too long for the JVM to compile.
+    of them side by side make a method too long for the JVM to compile. Characters of one
+    byte each are cut by bytes, which need no counting from the start of the line; the
+    key is that of the same characters.
     """
+    lines = lines.withColumn("bytes", F.col("line").cast("binary"))
     each = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(less).alias("less"), F.lit(shift).alias("shift")) for i, less, shift in places])
-    rows = lines.select("line", "chars", "line_id", F.explode(each).alias("place"))
+    each = each.cast("array<struct<i:int,less:int,shift:int>>")
+    rows = lines.select("line", "bytes", "chars", "line_id", F.explode(each).alias("place"))
     i, length, parts = F.col("place.i"), F.col("chars") - F.col("place.less"), edits + 1
     base = F.floor(length / parts).cast("int")
     start = base * i + F.greatest(F.lit(0), i - (parts - length % parts))
     size = base + F.when(i >= parts - length % parts, 1).otherwise(0)
-    return rows.select(F.xxhash64(i, length, F.substr("line", start + 1 + F.col("place.shift"), size)).alias("key"), "line_id")
+    at = start + 1 + F.col("place.shift")
+    plain = F.length("bytes") == F.col("chars")
+    segment = F.when(plain, F.substr("bytes", at, size)).otherwise(F.substr("line", at, size).cast("binary"))
+    return rows.select(F.xxhash64(i, length, segment).alias("key"), "line_id")
 
 
 def index_keys(lines: DataFrame, edits: int) -> DataFrame:
@@ -57,12 +65,13 @@ def index_keys(lines: DataFrame, edits: int) -> DataFrame:
 
 
 def probe_keys(lines: DataFrame, edits: int) -> DataFrame:
-    """Keys of the segments a line of equal or lower length would have in this one."""
+    """Keys of the segments a line of equal or lower length would have in this one, but for its own."""
     places = [
         (i, less, shift)
         for less in range(edits + 1)
         for i in range(edits + 1)
         for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)
+        if less or shift
     ]
     return _keys(lines, places, edits)
 
@@ -88,10 +97,12 @@ def _late_lines(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     """(line_id) of the distinct lines that have an earlier neighbour within the edits."""
     index = index_keys(lines, edits).groupBy("key").agg(F.min("line_id").alias("lo"), F.max("line_id").alias("hi"))
     met = probe_keys(lines, edits).join(index, "key").where((F.col("lo") != F.col("line_id")) | (F.col("hi") != F.col("line_id")))
-    met = stage(met.select("key", "line_id").distinct(), "line-met")
+    shared = index.where("lo != hi").select("key", F.lit(None).cast("bigint").alias("line_id"))
+    met = stage(met.select("key", "line_id").distinct().union(shared.hint("rebalance")), "line-met")
 
     own = _among(index_keys(lines, edits), met, "key").join(met.select("key").distinct(), "key", "left_semi")
     own = stage(own.distinct(), "line-own")
+    met = met.where("line_id is not null")
     wanted = stage(met.select("line_id").union(own.select("line_id")).distinct(), "line-wanted")
     texts = _among(lines, wanted, "line_id").join(wanted, "line_id", "left_semi").groupBy("line_id").agg(F.first("line").alias("line"))
     texts = stage(texts.join(distinct.select("line_id", "first"), "line_id"), "line-texts")
@@ -104,7 +115,8 @@ def _late_lines(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
         earlier = (these["key"] == others["key"]) & (F.col("line_id") != F.col("line_id_2")) & (F.col("first_2") < F.col("first"))
         return these.join(others, earlier & near, "left_semi").select("line_id")
 
-    return stage(late(probing, indexed).union(late(indexed, probing)).distinct(), "line-late")
+    every = indexed.unionByName(probing)
+    return stage(late(probing, indexed).union(late(indexed, every)).distinct(), "line-late")
 
 
 def dropped_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
